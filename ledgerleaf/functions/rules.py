@@ -23,7 +23,7 @@ def rule_unsupported_type(row: dict[str, Column]) -> Column:
 
 
 def rule_low_confidence(row: dict[str, Column]) -> Column:
-    shown = F.format_string("%.2f", row["confidence"])
+    shown = F.format_string("%.2f", F.bround(row["confidence"], 2))
     return F.when(
         row["confidence"] < C.WORKFLOW_CONFIDENCE, F.format_string(C.MSG_LOW_CONFIDENCE, shown)
     )

@@ -166,7 +166,7 @@ def cards(documents: DataFrame) -> DataFrame:
             F.nullif("company", F.lit("")), F.nullif("invoice_number", F.lit("")), "document_type"
         ).alias("subtitle"),
         F.format_string(
-            "%.1f KB", F.coalesce("file_size", F.lit(0)) / F.lit(1024)
+            "%.1f KB", F.bround(F.coalesce("file_size", F.lit(0)) / F.lit(1024), 1)
         ).alias("size_label"),
         F.left("file_hash", F.lit(16)).alias("hash_prefix"),
         F.concat(

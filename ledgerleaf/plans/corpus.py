@@ -14,8 +14,20 @@ from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
 
-SPARK = {"ts": "TIMESTAMP_NTZ", "binary": "BINARY", "sha_open": "sha2(", "sha_close": ", 256)"}
-DUCKDB = {"ts": "TIMESTAMP", "binary": "BLOB", "sha_open": "sha256(", "sha_close": ")"}
+SPARK = {
+    "ts": "TIMESTAMP_NTZ",
+    "sha_open": "sha2(",
+    "sha_close": ", 256)",
+    "bytes_open": "CAST(",
+    "bytes_close": " AS BINARY)",
+}
+DUCKDB = {
+    "ts": "TIMESTAMP",
+    "sha_open": "sha256(",
+    "sha_close": ")",
+    "bytes_open": "encode(",
+    "bytes_close": ")",
+}
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -98,6 +110,23 @@ SELECT CAST(doc_id * 3 + 2 AS BIGINT), 'Other',
 FROM $documents
 """
 
+# The same documents as landed files with the uploader's list of sizes: some
+# empty, some too large by the list, some without the bytes their name promises.
+LANDED = """
+SELECT doc_id, kind, filename, upload_ts, text,
+       CASE WHEN doc_id % 11 = 0 THEN CAST(0 AS BIGINT)
+            WHEN doc_id % 101 = 0 THEN CAST(11000000 + doc_id AS BIGINT)
+            ELSE CAST(length(text) + 4 AS BIGINT) END AS size,
+       CASE WHEN doc_id % 11 = 0 THEN NULL
+            WHEN doc_id % 11 = 1 THEN $bytes_open text $bytes_close
+            WHEN lower(filename) LIKE '%.png' THEN unhex('89504E470D0A1A0A') || $bytes_open text $bytes_close
+            WHEN lower(filename) LIKE '%.jpeg' THEN unhex('FFD8FF') || $bytes_open text $bytes_close
+            ELSE unhex('25504446') || $bytes_open text $bytes_close END AS content
+FROM (
+$docs_raw
+)
+"""
+
 # Rows of the documents table with stored fields of every shape the checks know.
 STORED_DOCS = """
 SELECT CAST(o_orderkey * 3 AS BIGINT) AS doc_id,
@@ -212,6 +241,7 @@ FROM $orders
 
 CORPORA = {
     "docs_raw": DOCS_RAW,
+    "landed": LANDED.replace("$docs_raw", DOCS_RAW.strip()),
     "stored_docs": STORED_DOCS,
     "wf_events": WF_EVENTS,
     "audit_rows": AUDIT_ROWS,

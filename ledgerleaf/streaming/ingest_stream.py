@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerleaf.operators.dedup import keep_first
@@ -29,27 +30,23 @@ def library_hashes(library: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def store_batch(batch: DataFrame, batch_id: int, library_path: str, order=("upload_ts", "doc_id")) -> None:
-    spark = batch.sparkSession
-    columns = batch.columns
-    firsts = keep_first(batch, order=order)
-    stored = _earlier(spark, library_path, batch_id, batch.schema)
-    if stored is not None:
-        firsts = firsts.join(library_hashes(stored, firsts), "file_hash", "left_anti")
-    firsts.select(*columns).write.mode("overwrite").parquet(f"{library_path}/{BATCH}={batch_id}")
+def store_batch(batch: DataFrame, batch_id: int, library_path: str) -> None:
+    schema = T.StructType([*batch.schema.fields, T.StructField(BATCH, T.LongType())])
+    library = batch.sparkSession.read.schema(schema).parquet(library_path)
+    earlier = library.filter(F.col(BATCH) != batch_id)
+    firsts = keep_first(batch)
+    new = firsts.join(library_hashes(earlier, firsts), "file_hash", "left_anti")
+    new.select(*batch.columns).write.mode("overwrite").parquet(f"{library_path}/{BATCH}={batch_id}")
 
 
-def _earlier(spark, library_path: str, batch_id: int, schema) -> DataFrame | None:
-    """Library rows of the other batches (and of ``seed``), if there are any."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(library_path)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    rows = spark.read.schema(schema.add(BATCH, "long") if BATCH not in schema.names else schema).parquet(library_path)
-    return rows.filter(F.col(BATCH) != batch_id)
+def seed_library(rows: DataFrame, library_path: str) -> None:
+    """Rows stored before the stream began, as batch -1.  Written once."""
+    rows.write.mode("ignore").parquet(f"{library_path}/{BATCH}=-1")
 
 
 def start_dedup(feed: DataFrame, library_path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Start the stream.  ``feed`` needs file_hash, upload_ts and doc_id."""
+    seed_library(feed.sparkSession.createDataFrame([], feed.schema), library_path)
     return (
         feed.writeStream.foreachBatch(
             lambda batch, batch_id: store_batch(batch, batch_id, library_path)
