@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerleaf.operators.skew import salted_join
+
 
 def audit_rows(events: DataFrame, stamped_at=None) -> DataFrame:
     """Rows ready to append: time filled in where absent, NULL reason as ''."""
@@ -23,7 +25,7 @@ def history(audit: DataFrame, documents: DataFrame | None = None, document_id=No
         audit = audit.filter(F.col("document_id") == document_id)
     if documents is not None:
         ids = documents.select(F.col("doc_id").alias("document_id"))
-        audit = audit.join(ids, "document_id", "left_semi")
+        audit = salted_join(audit, ids, "document_id", spread_by="id", how="left_semi")
     return audit.orderBy("document_id", "id").select(
         "document_id", "action", "previous_status", "new_status", "ts", "reason"
     )

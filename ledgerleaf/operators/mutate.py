@@ -37,7 +37,7 @@ def apply_updates(documents: DataFrame, changes: DataFrame) -> DataFrame:
 
 def apply_deletes(documents: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(survivors, removed rows).  Ids that are not stored remove nothing."""
-    doomed = ids.select("doc_id")
+    doomed = ids.select("doc_id").distinct()
     return (
         documents.join(doomed, "doc_id", "left_anti"),
         documents.join(doomed, "doc_id", "left_semi"),

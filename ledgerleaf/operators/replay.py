@@ -126,20 +126,26 @@ def final_states(judged: DataFrame, doc: str = "document_id", seq: str = "seq")
 
 
 def mapping_per_document(requests: DataFrame, doc: str, seq: str, requested: str) -> DataFrame:
-    """The whole history of each document as one packed mapping."""
+    """(document, mapping, requests): each history as one packed mapping."""
     base = requests.select(
         F.col(doc).alias("_doc"),
         F.col(seq).cast("long").alias("_node"),
         states.request_mapping(F.col(requested)).alias("_map"),
+        F.lit(1).cast("long").alias("_n"),
     )
     span = base.agg(F.max("_node")).first()[0] or 0
     while True:
         base = (
             base.withColumn("_chunk", F.floor(F.col("_node") / F.lit(CHUNK)))
             .groupBy("_doc", "_chunk")
-            .agg(_folded(F.array_sort(F.collect_list(F.struct("_node", "_map")))).alias("_map"))
-            .select("_doc", F.col("_chunk").alias("_node"), "_map")
+            .agg(
+                _folded(F.array_sort(F.collect_list(F.struct("_node", "_map")))).alias("_map"),
+                F.sum("_n").alias("_n"),
+            )
+            .select("_doc", F.col("_chunk").alias("_node"), "_map", "_n")
         )
         span //= CHUNK
         if span == 0:
-            return base.select(F.col("_doc").alias(doc), F.col("_map").alias("mapping"))
+            return base.select(
+                F.col("_doc").alias(doc), F.col("_map").alias("mapping"), F.col("_n").alias("requests")
+            )

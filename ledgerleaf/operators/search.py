@@ -148,7 +148,8 @@ def workflow_search(
 
 
 def by_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    return documents.join(ids.select("doc_id"), "doc_id", "left_semi")
+    """Documents named in ``ids``, which is reduced to distinct ids first."""
+    return documents.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
 
 
 def missing_ids(requested: DataFrame, documents: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from ledgerleaf.functions.fields import load_fields, with_validation
 from ledgerleaf.functions.rules import with_decision
 from ledgerleaf.functions.text import blank_to_null, strip_all
 from ledgerleaf.operators.replay import final_states, replay
-from ledgerleaf.operators.skew import salted_join
+from ledgerleaf.operators.skew import hot_keys, salted_join
 
 AUDIT_COLUMNS = (
     "document_id", "pos", "step", "action", "previous_status", "new_status", "reason",
@@ -42,7 +42,8 @@ def change_status(documents: DataFrame, requests: DataFrame) -> Change:
     """
     known = documents.select(F.col("doc_id").alias("document_id"), "workflow_status")
     ids = known.select("document_id")
-    valid = requests.join(ids, "document_id", "left_semi")
+    hot = hot_keys(requests, "document_id")
+    valid = salted_join(requests, ids, "document_id", "seq", "left_semi", hot)
     judged = replay(valid, known, requested="new_state")
     # Matched by (document, sequence): evenly spread, whatever the document.
     history = judged.withColumnRenamed("new_status", "_after").join(
@@ -60,7 +61,7 @@ def change_status(documents: DataFrame, requests: DataFrame) -> Change:
     blocked = history.filter(~F.col("applied")).select(
         "document_id", "seq", transition_message(F.col("previous_status"), F.col("new_state")).alias("error")
     )
-    unknown = requests.join(ids, "document_id", "left_anti").select(
+    unknown = salted_join(requests, ids, "document_id", "seq", "left_anti", hot).select(
         "document_id", "seq", not_found_message(F.col("document_id")).alias("error")
     )
     last = final_states(judged).select(
@@ -77,6 +78,22 @@ def change_status(documents: DataFrame, requests: DataFrame) -> Change:
     return Change(snapshot, audit, blocked.unionByName(unknown))
 
 
+def judge_requests(documents: DataFrame, requests: DataFrame) -> DataFrame:
+    """Requests (document_id, seq, requested_state) against the stored state:
+    adds ``allowed`` and, where it is not, ``error``.  Nothing is changed."""
+    stored = documents.select(
+        F.col("doc_id").alias("document_id"),
+        states.current_state(F.col("workflow_status")).alias("_state"),
+    )
+    joined = salted_join(requests, stored, "document_id", spread_by="seq")
+    return joined.withColumns(
+        {
+            "allowed": states.can_transition(F.col("_state"), F.col("requested_state")),
+            "error": states.transition_error(F.col("_state"), F.col("requested_state")),
+        }
+    ).drop("_state")
+
+
 def transition_message(current: Column, new: Column) -> Column:
     return F.format_string(C.MSG_TRANSITION, current, new)
 

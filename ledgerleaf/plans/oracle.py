@@ -654,7 +654,7 @@ SELECT conv_id, {_strip_all(f"coalesce(string_agg(t, {LF} ORDER BY turn) FILTER
 ) SELECT doc_id, CASE WHEN hit IS NULL THEN 'Completed' ELSE 'Needs Review' END AS next_state,
   CASE WHEN hit IS NULL THEN 'auto_completed' ELSE 'sent_to_review' END AS action,
   coalesce(hit, {_q(C.NOTE_PASSED)}) AS reason FROM hits""",
-    "transition_valid": f"{with_corpora('audit_rows')} SELECT id, {_allowed('previous_status', 'new_status')} AS allowed FROM audit_rows",
+    "transition_valid": f"{with_corpora('stored_docs', 'wf_events')} SELECT document_id, seq, {_allowed(STATE, 'requested_state')} AS allowed FROM wf_events JOIN stored_docs ON doc_id = document_id",
     "transition_blocked": f"""{with_corpora('stored_docs', 'wf_events')} SELECT document_id, seq,
   'Invalid transition: ' || {STATE} || ' -> ' || requested_state AS error
   FROM wf_events JOIN stored_docs ON doc_id = document_id WHERE NOT {_allowed(STATE, 'requested_state')}""",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerleaf import constants as C
-from ledgerleaf.functions import extract, fields, rules, states, status, text, upload
+from ledgerleaf.functions import extract, fields, rules, status, text, upload
 from ledgerleaf.functions.classify import with_rule_label
 from ledgerleaf.functions.common import literal_array, no_strings
 from ledgerleaf.operators import (
@@ -28,6 +28,7 @@ from ledgerleaf.plans.corpus import corpus, table
 from ledgerleaf.session import scratch_dir, written
 from ledgerleaf.sources import landed as landed_source
 from ledgerleaf.sources import tables
+from ledgerleaf.sources.layout import spread
 from ledgerleaf.streaming import ingest_stream, workflow_stream
 
 LIBRARY_BEFORE = "2000-01-01"
@@ -35,7 +36,7 @@ LIBRARY_BEFORE = "2000-01-01"
 
 # --- inputs -------------------------------------------------------------------
 def clean_docs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = corpus(spark, sf, "docs_raw")
+    docs = spread(corpus(spark, sf, "docs_raw"))
     return docs.withColumn("clean_text", text.clean_text(F.col("text")))
 
 
@@ -44,7 +45,7 @@ def labelled_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extracted_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.processed(corpus(spark, sf, "docs_raw"))
+    return ingest.processed(spread(corpus(spark, sf, "docs_raw")))
 
 
 def stored(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,13 +53,14 @@ def stored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def checked_docs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = stored(spark, sf).withColumn("fields", fields.load_fields(F.col("fields_json")))
+    docs = spread(stored(spark, sf))
+    docs = docs.withColumn("fields", fields.load_fields(F.col("fields_json")))
     return fields.with_validation(docs)
 
 
 def landed_files(spark: SparkSession, sf: str) -> DataFrame:
     """The landing zone: a table of bytes, as an upload would leave it."""
-    return written(corpus(spark, sf, "landed"), "landing")
+    return written(spread(corpus(spark, sf, "landed")), "landing")
 
 
 def library_and_batch(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -440,7 +442,7 @@ def scored_confidence() -> Column:
 
 def ingest_status(spark, sf):
     unreadable = F.when(F.lower("filename").endswith(".jpeg"), C.MSG_UNREADABLE)
-    docs = corpus(spark, sf, "docs_raw").withColumns(
+    docs = spread(corpus(spark, sf, "docs_raw")).withColumns(
         {"confidence": scored_confidence(), "notes": reader_notes(), "read_error": unreadable}
     )
     return ingest.processed(docs).select("doc_id", "document_type", "status", "status_reason")
@@ -545,29 +547,20 @@ def rule_duplicate(spark, sf):
 
 
 def decide(spark, sf):
-    docs = dedup.flag_repeats(stored(spark, sf))
+    docs = dedup.flag_repeats(spread(stored(spark, sf)))
     decided = workflow.decide_documents(docs, is_duplicate="is_duplicate")
     return decided.select("doc_id", "next_state", "action", "reason")
 
 
 # --- workflow -------------------------------------------------------------------------------------
 def transition_valid(spark, sf):
-    moves = corpus(spark, sf, "audit_rows")
-    return moves.select(
-        "id",
-        states.can_transition(F.col("previous_status"), F.col("new_status")).alias("allowed"),
-    )
+    judged = workflow.judge_requests(stored(spark, sf), corpus(spark, sf, "wf_events"))
+    return judged.select("document_id", "seq", "allowed")
 
 
 def transition_blocked(spark, sf):
-    """Requests read as moves away from the document's stored state."""
-    requests = corpus(spark, sf, "wf_events")
-    docs = stored(spark, sf).select(F.col("doc_id").alias("document_id"), "workflow_status")
-    current = states.current_state(F.col("workflow_status"))
-    error = states.transition_error(current, F.col("requested_state"))
-    return requests.join(docs, "document_id").select("document_id", "seq", error.alias("error")).filter(
-        F.col("error").isNotNull()
-    )
+    judged = workflow.judge_requests(stored(spark, sf), corpus(spark, sf, "wf_events"))
+    return judged.filter(~F.col("allowed")).select("document_id", "seq", "error")
 
 
 def status_requests(spark, sf):
@@ -593,7 +586,7 @@ def change_status_audit(spark, sf):
 
 
 def batch_run(spark, sf):
-    return workflow.run_batch(stored(spark, sf), corpus(spark, sf, "batch_ids"))
+    return workflow.run_batch(spread(stored(spark, sf)), corpus(spark, sf, "batch_ids"))
 
 
 def workflow_batch(spark, sf):

@@ -16,6 +16,9 @@ def build_session(app_name: str = "ledgerleaf", master: str | None = None, **con
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Text stages generate long methods.  The JVM does not compile methods
+        # above 8,000 bytes; below the limit Spark splits them instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)

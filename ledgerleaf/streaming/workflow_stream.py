@@ -23,10 +23,7 @@ SCHEMA = "document_id LONG, mapping LONG, requests LONG, batch_id LONG"
 
 def store_mappings(batch: DataFrame, batch_id: int, path: str) -> None:
     mappings = mapping_per_document(batch, "document_id", "seq", "requested_state")
-    counts = batch.groupBy("document_id").agg(F.count("*").alias("requests"))
-    mappings.join(counts, "document_id").write.mode("overwrite").parquet(
-        f"{path}/batch_id={batch_id}"
-    )
+    mappings.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def start_workflow(feed: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
