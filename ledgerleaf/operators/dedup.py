@@ -1,8 +1,12 @@
 """Exact duplicates by content hash.
 
-A group of identical files may be huge, so no operator here moves whole groups:
-the first row of each hash is found by a partial aggregate over three narrow
-columns, and rows are matched to it by (hash, id), which is spread evenly.
+Documents are large, their keys (hash, time, id) are not.  Every operator finds
+the duplicates on the keys alone and then drops or marks them by id, so the
+documents themselves move only if the duplicates are too many to broadcast.
+
+A group of identical files may be huge.  Its first row comes from a partial
+aggregate, and joins on the hash are salted for the groups that the same
+aggregate shows to be hot.
 """
 
 from __future__ import annotations
@@ -10,60 +14,78 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators.skew import salted_join
+from ledgerleaf.operators.skew import largest, salted_join
 
 ORDER = ("upload_ts", "doc_id")
+HASH, ID = "file_hash", "doc_id"
 
 
-def first_rows(df: DataFrame, hash_col: str = "file_hash", order=ORDER, id_col: str = "doc_id"):
-    """(hash, id) of the earliest row of every hash."""
-    return (
-        df.groupBy(hash_col)
-        .agg(F.min(F.struct(*order)).alias("_first"))
-        .select(hash_col, F.col(f"_first.{id_col}").alias(id_col))
+def keys_of(df: DataFrame, order=ORDER) -> DataFrame:
+    """(hash, order columns) of the rows that have a hash."""
+    return df.select(HASH, *order).filter(F.col(HASH).isNotNull())
+
+
+def repeats(keys: DataFrame, order=ORDER) -> DataFrame:
+    """Ids of all rows but the first of their hash, in ``order``."""
+    groups = (
+        keys.groupBy(HASH)
+        .agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > 1)
     )
+    firsts = groups.select(HASH, F.col(f"_first.{ID}").alias("_first_id"))
+    hot = largest(groups, HASH, "_rows")
+    joined = salted_join(keys, firsts, HASH, spread_by=ID, hot=hot)
+    return joined.filter(F.col(ID) != F.col("_first_id")).select(ID)
 
 
-def keep_first(df: DataFrame, hash_col: str = "file_hash", order=ORDER, id_col: str = "doc_id"):
-    """One row per hash, the earliest."""
-    return df.join(first_rows(df, hash_col, order, id_col), [hash_col, id_col], "left_semi")
+def keep_first(df: DataFrame, order=ORDER) -> DataFrame:
+    """One row per hash, the earliest.  Rows without a hash stay."""
+    return df.join(repeats(keys_of(df, order), order), ID, "left_anti")
 
 
-def flag_repeats(
-    df: DataFrame,
-    hash_col: str = "file_hash",
-    order=ORDER,
-    id_col: str = "doc_id",
-    flag: str = "is_duplicate",
-):
+def flag_repeats(df: DataFrame, flag: str = "is_duplicate", order=ORDER) -> DataFrame:
     """Adds ``flag``: true for every row of a hash but the earliest."""
-    firsts = first_rows(df, hash_col, order, id_col).withColumn("_is_first", F.lit(True))
-    return df.join(firsts, [hash_col, id_col], "left").select(
-        *df.columns,
-        (F.col("_is_first").isNull() & F.col(hash_col).isNotNull()).alias(flag),
-    )
+    later = repeats(keys_of(df, order), order).withColumn("_later", F.lit(True))
+    return df.join(later, ID, "left").select(*df.columns, F.col("_later").isNotNull().alias(flag))
 
 
-def library_matches(batch: DataFrame, library: DataFrame, hash_col: str = "file_hash") -> DataFrame:
-    """Hashes of the batch that the library holds, with the stored row.
+def library_matches(keys: DataFrame, library: DataFrame) -> DataFrame:
+    """(id, existing_id, existing_filename) of the rows whose hash is stored.
 
-    The batch is reduced to its distinct hashes first.  ``library`` has one row
-    per hash, with ``doc_id`` and ``original_filename``.
+    ``library`` has one row per hash, with ``doc_id`` and ``original_filename``.
+    The batch is reduced to its distinct hashes before it meets the library.
     """
-    return library.select(
-        hash_col,
+    counts = keys.groupBy(HASH).agg(F.count("*").alias("_rows"))
+    stored = library.select(
+        HASH,
         F.col("doc_id").alias("existing_id"),
         F.col("original_filename").alias("existing_filename"),
-    ).join(batch.select(hash_col).distinct(), hash_col, "left_semi")
+    ).join(counts.select(HASH), HASH, "left_semi")
+    joined = salted_join(
+        keys.select(HASH, ID), stored, HASH, spread_by=ID, hot=largest(counts, HASH, "_rows")
+    )
+    return joined.select(ID, "existing_id", "existing_filename")
 
 
-def match_library(batch: DataFrame, library: DataFrame, hash_col: str = "file_hash") -> DataFrame:
+def match_library(batch: DataFrame, library: DataFrame) -> DataFrame:
     """The batch with ``existing_id`` and ``existing_filename`` (NULL if new)."""
-    matches = library_matches(batch, library, hash_col)
-    return salted_join(batch, matches, hash_col, spread_by="doc_id", how="left")
+    return batch.join(library_matches(keys_of(batch), library), ID, "left")
+
+
+def verdicts(keys: DataFrame, library: DataFrame) -> DataFrame:
+    """The duplicates of a batch: (id, existing_id, existing_filename, repeated).
+
+    A row is here if the library holds its hash or an earlier row of the batch
+    has it.
+    """
+    later = repeats(keys).withColumn("repeated", F.lit(True))
+    return (
+        library_matches(keys, library)
+        .join(later, ID, "full_outer")
+        .withColumn("repeated", F.coalesce("repeated", F.lit(False)))
+    )
 
 
-def new_rows(batch: DataFrame, library: DataFrame, hash_col: str = "file_hash") -> DataFrame:
+def new_rows(batch: DataFrame, library: DataFrame) -> DataFrame:
     """Rows to store: first of their hash in the batch and not in the library."""
-    firsts = keep_first(batch, hash_col)
-    return firsts.join(library.select(hash_col), hash_col, "left_anti")
+    return batch.join(verdicts(keys_of(batch), library), ID, "left_anti")

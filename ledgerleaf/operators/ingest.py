@@ -10,7 +10,8 @@ from ledgerleaf.functions import extract, status, upload
 from ledgerleaf.functions.classify import with_rule_label
 from ledgerleaf.functions.common import literal_map, no_strings
 from ledgerleaf.functions.text import clean_text, is_too_short, text_preview
-from ledgerleaf.operators.dedup import flag_repeats, match_library
+from ledgerleaf.operators.dedup import keys_of, verdicts
+from ledgerleaf.session import written
 
 
 def validated(files: DataFrame) -> DataFrame:
@@ -85,10 +86,13 @@ def outcome(files: DataFrame, library: DataFrame) -> DataFrame:
     A file repeats another when its hash is in the library, or when an earlier
     file of the same batch has it.
     """
-    checked = flag_repeats(match_library(validated(files), library), flag="_repeat")
+    checked = validated(files)
+    # The bytes are hashed once into a narrow table that finds the duplicates.
+    keys = written(keys_of(checked), "keys")
+    checked = checked.join(verdicts(keys, library), "doc_id", "left")
     kind = (
         F.when(F.col("upload_error").isNotNull(), "rejected")
-        .when(F.col("existing_id").isNotNull() | F.col("_repeat"), "duplicate")
+        .when(F.col("repeated").isNotNull(), "duplicate")
         .otherwise("new")
     )
     # Only new files carry their text on: the others cost no text work.
@@ -102,7 +106,7 @@ def outcome(files: DataFrame, library: DataFrame) -> DataFrame:
             F.col("existing_id").isNotNull(),
             F.format_string(C.MSG_DUPLICATE, F.col("existing_filename")),
         )
-        .when(F.col("_repeat"), C.MSG_DUPLICATE_RACE)
+        .when(F.col("repeated"), C.MSG_DUPLICATE_RACE)
         .otherwise(F.try_element_at(literal_map(C.MSG_SAVED), F.col("status")))
     )
     return results.withColumn("message", message)

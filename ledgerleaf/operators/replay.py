@@ -116,10 +116,12 @@ def _entry_states(children: Column, entry: Column) -> Column:
     )
 
 
-def final_states(judged: DataFrame, doc: str = "document_id", seq: str = "seq") -> DataFrame:
+def final_states(
+    judged: DataFrame, doc: str = "document_id", seq: str = "seq", state: str = "new_status"
+) -> DataFrame:
     """Last state of every replayed document, with counts of both kinds."""
     return judged.groupBy(doc).agg(
-        F.max_by("new_status", seq).alias("workflow_status"),
+        F.max_by(state, seq).alias("workflow_status"),
         F.count_if("applied").alias("applied"),
         F.count_if(~F.col("applied")).alias("blocked"),
     )

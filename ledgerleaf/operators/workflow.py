@@ -18,6 +18,7 @@ from ledgerleaf.functions.rules import with_decision
 from ledgerleaf.functions.text import blank_to_null, strip_all
 from ledgerleaf.operators.replay import final_states, replay
 from ledgerleaf.operators.skew import hot_keys, salted_join
+from ledgerleaf.session import written
 
 AUDIT_COLUMNS = (
     "document_id", "pos", "step", "action", "previous_status", "new_status", "reason",
@@ -49,6 +50,8 @@ def change_status(documents: DataFrame, requests: DataFrame) -> Change:
     history = judged.withColumnRenamed("new_status", "_after").join(
         valid, ["document_id", "seq"]
     )
+    # Written, because snapshot, audit rows and refusals all come from it.
+    history = written(history, "history")
     audit = history.filter("applied").select(
         "document_id",
         F.col("seq").alias("pos"),
@@ -64,7 +67,7 @@ def change_status(documents: DataFrame, requests: DataFrame) -> Change:
     unknown = salted_join(requests, ids, "document_id", "seq", "left_anti", hot).select(
         "document_id", "seq", not_found_message(F.col("document_id")).alias("error")
     )
-    last = final_states(judged).select(
+    last = final_states(history, state="_after").select(
         F.col("document_id").alias("doc_id"), F.col("workflow_status").alias("_state"), "applied"
     )
     snapshot = documents.join(last, "doc_id", "left").select(
@@ -151,7 +154,19 @@ def run_batch(
         }
     )
     startable = states.can_transition(F.col("_before"), F.lit(C.PROCESSING))
-    decided = decide_documents(requested.filter(startable), rules, sentinel_is_blank)
+    decided = decide_documents(requested.filter(startable), rules, sentinel_is_blank).select(
+        "doc_id",
+        "_first_pos",
+        "_before",
+        "next_state",
+        "action",
+        "reason",
+        "document_type",
+        "confidence",
+        F.to_json("validation").alias("validation_json"),
+    )
+    # Written, because results, audit rows and snapshot all come from it.
+    decided = written(decided, "decided")
     outcomes = decided.select(
         F.col("doc_id").alias("document_id"),
         "_first_pos",
@@ -223,7 +238,7 @@ def _batch_snapshot(documents: DataFrame, decided: DataFrame, processing_ms: flo
         F.struct(
             F.col("next_state").alias("workflow_status"),
             F.when(F.col("next_state") == C.NEEDS_REVIEW, F.col("reason")).alias("review_reason"),
-            F.to_json("validation").alias("validation_json"),
+            F.col("validation_json"),
             blank_to_null(F.lower("document_type")).alias("predicted_type"),
             F.col("confidence").alias("confidence"),
             F.lit(False).alias("failed"),

@@ -14,29 +14,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerleaf.operators.dedup import keep_first
+from ledgerleaf.operators.dedup import keys_of, verdicts
 
 BATCH = "batch_id"
 
 
-def library_hashes(library: DataFrame, batch: DataFrame) -> DataFrame:
-    """Hashes of the batch that are in the library.
-
-    A semi join from the library side: only its hash column is read, and Spark
-    can prune it with the batch's hashes before any shuffle.
-    """
-    return library.select("file_hash").join(
-        batch.select("file_hash").distinct(), "file_hash", "left_semi"
-    )
-
-
 def store_batch(batch: DataFrame, batch_id: int, library_path: str) -> None:
+    """Append the new rows of one micro-batch.  Of the library only hash and id
+    are read, by a semi join that Spark can prune with the batch's hashes.
+    Without a hash a row cannot be compared; it is stored."""
     schema = T.StructType([*batch.schema.fields, T.StructField(BATCH, T.LongType())])
     library = batch.sparkSession.read.schema(schema).parquet(library_path)
     earlier = library.filter(F.col(BATCH) != batch_id)
-    firsts = keep_first(batch)
-    new = firsts.join(library_hashes(earlier, firsts), "file_hash", "left_anti")
+    keys = keys_of(batch).persist()
+    stored = earlier.select(
+        "file_hash", "doc_id", F.lit(None).cast("string").alias("original_filename")
+    )
+    new = batch.join(verdicts(keys, stored), "doc_id", "left_anti")
     new.select(*batch.columns).write.mode("overwrite").parquet(f"{library_path}/{BATCH}={batch_id}")
+    keys.unpersist()
 
 
 def seed_library(rows: DataFrame, library_path: str) -> None:
