@@ -14,6 +14,9 @@ from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerleaf.session import scratch_dir
+from ledgerleaf.sources.layout import spread
+
 SPARK = {
     "ts": "TIMESTAMP_NTZ",
     "sha_open": "sha2(",
@@ -254,8 +257,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_rendered: dict[tuple, str] = {}
+
+
 def corpus(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A rendered corpus as a DataFrame over the tables of ``sf_dir``."""
+    """A corpus over the tables of ``sf_dir``, as a scan.
+
+    It is rendered once per application, into the shared scratch folder, so the
+    queries read documents from a table as they would outside of tests.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _rendered:
+        path = scratch_dir(spark, name)
+        spread(_render(spark, sf_dir, name)).write.parquet(path)
+        _rendered[key] = path
+    return spark.read.parquet(_rendered[key])
+
+
+def _render(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tag = hashlib.sha256(sf_dir.encode()).hexdigest()[:8]
     template = Template(CORPORA[name])
     views = {}

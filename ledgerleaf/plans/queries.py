@@ -28,7 +28,6 @@ from ledgerleaf.plans.corpus import corpus, table
 from ledgerleaf.session import scratch_dir, written
 from ledgerleaf.sources import landed as landed_source
 from ledgerleaf.sources import tables
-from ledgerleaf.sources.layout import spread
 from ledgerleaf.streaming import ingest_stream, workflow_stream
 
 LIBRARY_BEFORE = "2000-01-01"
@@ -36,7 +35,7 @@ LIBRARY_BEFORE = "2000-01-01"
 
 # --- inputs -------------------------------------------------------------------
 def clean_docs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(corpus(spark, sf, "docs_raw"))
+    docs = corpus(spark, sf, "docs_raw")
     return docs.withColumn("clean_text", text.clean_text(F.col("text")))
 
 
@@ -45,7 +44,7 @@ def labelled_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extracted_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.processed(spread(corpus(spark, sf, "docs_raw")))
+    return ingest.processed(corpus(spark, sf, "docs_raw"))
 
 
 def stored(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,23 +52,18 @@ def stored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def checked_docs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(stored(spark, sf))
+    docs = stored(spark, sf)
     docs = docs.withColumn("fields", fields.load_fields(F.col("fields_json")))
     return fields.with_validation(docs)
 
 
-def landed_files(spark: SparkSession, sf: str) -> DataFrame:
-    """The landing zone: a table of bytes, as an upload would leave it."""
-    return written(spread(corpus(spark, sf, "landed")), "landing")
-
-
 def library_and_batch(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Uploads before the cut form the library, the later ones the batch."""
-    files = landed_files(spark, sf)
+    files = corpus(spark, sf, "landed")
     early = F.col("upload_ts") < F.lit(LIBRARY_BEFORE).cast("timestamp_ntz")
     old = dedup.keep_first(ingest.accepted(ingest.validated(files.filter(early))))
     library = old.select("doc_id", "file_hash", F.col("filename").alias("original_filename"))
-    return library, files.filter(~early)
+    return written(library, "library"), files.filter(~early)
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,7 +146,7 @@ def safe_filename(spark, sf):
 
 
 def append_documents(spark, sf):
-    files = ingest.accepted(ingest.validated(landed_files(spark, sf)))
+    files = ingest.accepted(ingest.validated(corpus(spark, sf, "landed")))
     rows = ingest.stored_rows(ingest.processed(dedup.keep_first(files)))
     return rows.withColumn("upload_ts", shown_time("upload_ts"))
 
@@ -175,17 +169,17 @@ def file_extension(spark, sf):
 
 
 def validate_upload(spark, sf):
-    return ingest.validated(landed_files(spark, sf)).select("doc_id", "ext", "upload_error")
+    return ingest.validated(corpus(spark, sf, "landed")).select("doc_id", "ext", "upload_error")
 
 
 def content_hash(spark, sf):
-    return landed_files(spark, sf).select(
+    return corpus(spark, sf, "landed").select(
         "doc_id", upload.content_hash(F.col("content")).alias("file_hash")
     )
 
 
 def quarantine(spark, sf):
-    return ingest.quarantined(ingest.validated(landed_files(spark, sf)))
+    return ingest.quarantined(ingest.validated(corpus(spark, sf, "landed")))
 
 
 # --- duplicates --------------------------------------------------------------------
@@ -442,7 +436,7 @@ def scored_confidence() -> Column:
 
 def ingest_status(spark, sf):
     unreadable = F.when(F.lower("filename").endswith(".jpeg"), C.MSG_UNREADABLE)
-    docs = spread(corpus(spark, sf, "docs_raw")).withColumns(
+    docs = corpus(spark, sf, "docs_raw").withColumns(
         {"confidence": scored_confidence(), "notes": reader_notes(), "read_error": unreadable}
     )
     return ingest.processed(docs).select("doc_id", "document_type", "status", "status_reason")
@@ -547,7 +541,7 @@ def rule_duplicate(spark, sf):
 
 
 def decide(spark, sf):
-    docs = dedup.flag_repeats(spread(stored(spark, sf)))
+    docs = dedup.flag_repeats(stored(spark, sf))
     decided = workflow.decide_documents(docs, is_duplicate="is_duplicate")
     return decided.select("doc_id", "next_state", "action", "reason")
 
@@ -586,7 +580,7 @@ def change_status_audit(spark, sf):
 
 
 def batch_run(spark, sf):
-    return workflow.run_batch(spread(stored(spark, sf)), corpus(spark, sf, "batch_ids"))
+    return workflow.run_batch(stored(spark, sf), corpus(spark, sf, "batch_ids"))
 
 
 def workflow_batch(spark, sf):
