@@ -13,9 +13,15 @@ from ledgerleaf.functions.text import blank_to_null, strip_all
 STRING_ARRAY = "array<string>"
 
 
-def load_fields(fields_json: Column) -> Column:
-    """JSON object to MAP; NULL, '', broken JSON and other JSON give {}."""
-    return F.coalesce(F.from_json(fields_json, "map<string,string>"), empty_fields())
+def load_fields(fields_json: Column, sentinel_is_blank: bool = False) -> Column:
+    """JSON object to MAP; NULL, '', broken JSON and other JSON give {}.
+
+    With ``sentinel_is_blank`` a value that says 'not found' becomes NULL.
+    """
+    fields = F.coalesce(F.from_json(fields_json, "map<string,string>"), empty_fields())
+    if not sentinel_is_blank:
+        return fields
+    return F.transform_values(fields, lambda _, v: F.nullif(v, F.lit(C.NOT_FOUND)))
 
 
 def canonical_key(key: Column) -> Column:
@@ -28,17 +34,14 @@ def canonical_key(key: Column) -> Column:
     )
 
 
-def normalize_fields(fields: Column, sentinel_is_blank: bool = True) -> Column:
+def normalize_fields(fields: Column) -> Column:
     """MAP with canonical keys; the later of two keys that meet wins.
 
     A row has a handful of keys, so this stays inside the row: no shuffle.
     """
-    value = (
-        (lambda v: F.nullif(v, F.lit(C.NOT_FOUND))) if sentinel_is_blank else (lambda v: v)
-    )
     renamed = F.transform(
         F.map_entries(fields),
-        lambda e: F.struct(canonical_key(e["key"]).alias("key"), value(e["value"]).alias("value")),
+        lambda e: F.struct(canonical_key(e["key"]).alias("key"), e["value"].alias("value")),
     )
     return renamed_map(renamed)
 
@@ -154,16 +157,11 @@ def validation(document_type: Column, canonical: Column, missing: Column, invali
     )
 
 
-def with_validation(
-    df,
-    document_type: str = "document_type",
-    fields: str = "fields",
-    sentinel_is_blank: bool = True,
-):
+def with_validation(df, document_type: str = "document_type", fields: str = "fields"):
     """Adds ``canonical``, ``missing``, ``invalid`` and ``validation``."""
     kind = F.col(document_type)
     return (
-        df.withColumn("canonical", normalize_fields(F.col(fields), sentinel_is_blank))
+        df.withColumn("canonical", normalize_fields(F.col(fields)))
         .withColumns(
             {
                 "missing": missing_required(kind, F.col("canonical")),

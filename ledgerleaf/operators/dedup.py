@@ -39,7 +39,11 @@ def repeats(keys: DataFrame, order=ORDER) -> DataFrame:
 
 
 def keep_first(df: DataFrame, order=ORDER) -> DataFrame:
-    """One row per hash, the earliest.  Rows without a hash stay."""
+    """One row per hash, the earliest.  Rows without a hash stay.
+
+    The keys of ``df`` are read several times: give it a stored hash, or write
+    the keys to a table first where the hash has to be computed.
+    """
     return df.join(repeats(keys_of(df, order), order), ID, "left_anti")
 
 

@@ -121,9 +121,8 @@ def decide_documents(
     is_duplicate: str | None = None,
 ) -> DataFrame:
     """Every document with its validation and the rules' decision."""
-    loaded = documents.withColumn("fields", load_fields(F.col("fields_json")))
-    checked = with_validation(loaded, sentinel_is_blank=sentinel_is_blank)
-    return with_decision(checked, rules, is_duplicate)
+    loaded = documents.withColumn("fields", load_fields(F.col("fields_json"), sentinel_is_blank))
+    return with_decision(with_validation(loaded), rules, is_duplicate)
 
 
 def run_batch(

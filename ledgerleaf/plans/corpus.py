@@ -156,7 +156,8 @@ SELECT CAST(o_orderkey * 3 AS BIGINT) AS doc_id,
          WHEN 8 THEN '["a","b"]'
          WHEN 9 THEN CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE NULL END
          WHEN 10 THEN '{"Invoice Number":"  ","Date":"","Company Name":" ","Total Amount":null}'
-         WHEN 11 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"01/02/26","Company Name":"Not Found","Total Amount":"Rs. 500"}'
+         WHEN 11 THEN CASE WHEN o_orderkey % 5 = 1 THEN '{"Invoice Number":"Not Found","Date":"Not Found"}' ELSE '' END
+                   || CASE WHEN o_orderkey % 5 = 1 THEN '' ELSE '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"01/02/26","Company Name":"Not Found","Total Amount":"Rs. 500"}' END
          ELSE '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"' || substr(CAST(o_orderdate AS STRING), 1, 10) || '","Company Name":"Client ' || CAST(o_custkey AS STRING) || '","Total Amount":"' || CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) || '"}'
        END AS fields_json,
        CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderkey * 37 % 101 AS DOUBLE) / 100 END AS confidence,

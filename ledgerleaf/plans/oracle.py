@@ -333,7 +333,7 @@ FIELDS = f"{STORED},\n{LOADED},\n{CANONICAL}"
 REASON_OF = "CASE z " + " ".join(f"WHEN '{k}' THEN {_q(v)}" for k, v in C.INVALID_REASONS.items()) + " END"
 
 RULE_SQL = {
-    "rule_unreadable": f"CASE WHEN len(list_filter(raw_entries, lambda e: coalesce({_strip_all('e.value')} <> '', FALSE))) = 0 THEN {_q(C.MSG_NO_FIELDS)} END",
+    "rule_unreadable": f"CASE WHEN len(list_filter(raw_entries, lambda e: coalesce({_strip_all('e.value')} NOT IN ('', 'Not Found'), FALSE))) = 0 THEN {_q(C.MSG_NO_FIELDS)} END",
     "rule_unsupported": "CASE WHEN coalesce(lower(document_type), '') NOT IN ('invoice', 'resume') THEN "
     + _message(C.MSG_UNKNOWN_TYPE, "coalesce(nullif(lower(document_type), ''), 'none')")
     + " END",

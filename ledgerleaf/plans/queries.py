@@ -53,7 +53,7 @@ def stored(spark: SparkSession, sf: str) -> DataFrame:
 
 def checked_docs(spark: SparkSession, sf: str) -> DataFrame:
     docs = stored(spark, sf)
-    docs = docs.withColumn("fields", fields.load_fields(F.col("fields_json")))
+    docs = docs.withColumn("fields", fields.load_fields(F.col("fields_json"), True))
     return fields.with_validation(docs)
 
 
