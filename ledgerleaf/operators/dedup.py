@@ -1,8 +1,9 @@
 """Exact duplicates by content hash.
 
 Documents are large, their keys (hash, time, id) are not.  Every operator finds
-the duplicates on the keys alone and then drops or marks them by id, so the
-documents themselves move only if the duplicates are too many to broadcast.
+the duplicates on the keys alone, writes their ids to a table, and then drops
+or marks them by id.  Spark knows the size of that table when it plans the last
+join: the documents move only if the duplicates are too many to broadcast.
 
 A group of identical files may be huge.  Its first row comes from a partial
 aggregate, and joins on the hash are salted for the groups that the same
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators.skew import largest, salted_join
+from ledgerleaf.session import written
 
 ORDER = ("upload_ts", "doc_id")
 HASH, ID = "file_hash", "doc_id"
@@ -32,10 +34,11 @@ def repeats(keys: DataFrame, order=ORDER) -> DataFrame:
         .agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_rows"))
         .filter(F.col("_rows") > 1)
     )
+    groups = written(groups, "groups")
     firsts = groups.select(HASH, F.col(f"_first.{ID}").alias("_first_id"))
     hot = largest(groups, HASH, "_rows")
     joined = salted_join(keys, firsts, HASH, spread_by=ID, hot=hot)
-    return joined.filter(F.col(ID) != F.col("_first_id")).select(ID)
+    return written(joined.filter(F.col(ID) != F.col("_first_id")).select(ID), "repeats")
 
 
 def keep_first(df: DataFrame, order=ORDER) -> DataFrame:
@@ -59,7 +62,7 @@ def library_matches(keys: DataFrame, library: DataFrame) -> DataFrame:
     ``library`` has one row per hash, with ``doc_id`` and ``original_filename``.
     The batch is reduced to its distinct hashes before it meets the library.
     """
-    counts = keys.groupBy(HASH).agg(F.count("*").alias("_rows"))
+    counts = written(keys.groupBy(HASH).agg(F.count("*").alias("_rows")), "hashes")
     stored = library.select(
         HASH,
         F.col("doc_id").alias("existing_id"),
@@ -68,7 +71,7 @@ def library_matches(keys: DataFrame, library: DataFrame) -> DataFrame:
     joined = salted_join(
         keys.select(HASH, ID), stored, HASH, spread_by=ID, hot=largest(counts, HASH, "_rows")
     )
-    return joined.select(ID, "existing_id", "existing_filename")
+    return written(joined.select(ID, "existing_id", "existing_filename"), "matches")
 
 
 def match_library(batch: DataFrame, library: DataFrame) -> DataFrame:
@@ -83,11 +86,12 @@ def verdicts(keys: DataFrame, library: DataFrame) -> DataFrame:
     has it.
     """
     later = repeats(keys).withColumn("repeated", F.lit(True))
-    return (
+    every = (
         library_matches(keys, library)
         .join(later, ID, "full_outer")
         .withColumn("repeated", F.coalesce("repeated", F.lit(False)))
     )
+    return written(every, "verdicts")
 
 
 def new_rows(batch: DataFrame, library: DataFrame) -> DataFrame:
