@@ -9,7 +9,7 @@ from ledgerleaf import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "ledgerleaf-tests",
         master="local[8]",
@@ -19,8 +19,6 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
 
