@@ -6,20 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerleaf.llm.fingerprint import op10_fingerprints
 from ledgerleaf.llm.lines import op9_line_dedup
 from ledgerleaf.llm.mixing import op7_mix_sources
+from ledgerleaf.llm.neardup import op8_near_duplicates
+from ledgerleaf.llm.packing import op1_pack
+from ledgerleaf.llm.passages import op3_shared_passages
+from ledgerleaf.llm.quality import op2_quality
 from ledgerleaf.llm.sharding import op5_shard_documents
 from ledgerleaf.llm.tools import table
+from ledgerleaf.llm.toxicity import op6_toxicity
+from ledgerleaf.llm.vectors import op4_near_vectors
 
 
 def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"))
 
 
+def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_retrieval_packing": _on_documents(op1_pack),
+    "op2_quality_classifier": _with_labels(op2_quality),
+    "op3_shared_passages": _on_documents(op3_shared_passages),
+    "op4_near_vectors": lambda spark, sf_dir: op4_near_vectors(table(spark, sf_dir, "embeddings")),
     "op5_karmarkar_karp_shards": _on_documents(op5_shard_documents),
+    "op6_toxicity": _with_labels(op6_toxicity),
     "op7_source_mix": _on_documents(op7_mix_sources),
+    "op8_near_duplicates": _on_documents(op8_near_duplicates),
     "op9_line_dedup": _on_documents(op9_line_dedup),
+    "op10_lz_fingerprints": _on_documents(op10_fingerprints),
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
