@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.tools import batches, doc_rows, text_bytes
+from ledgerleaf.llm.tools import NO_ID, batches, doc_rows, text_bytes
 from ledgerleaf.session import written
 
 MIN_CHARS = 10
@@ -125,14 +125,19 @@ def kept_lines(bitmap: bytes | None, text: bytes) -> bytes:
     return b"\n".join(line for line, bit in zip(text.split(b"\n"), bits) if bit)
 
 
-def _apply(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in stream:
-        for batch in batches([whole], BATCH_BYTES):
-            kept = [kept_lines(k, t) for k, t in zip(batch.column("keep").to_pylist(), batch.column("text_utf8").to_pylist())]
-            at = batch.schema.get_field_index("text_utf8")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kept, pa.binary()) if i == at else batch.column(i) for i in range(batch.num_columns)], schema=batch.schema
-            )
+def _apply(text: str, keep: str):
+    """Put the kept lines into the column ``text``, by the bitmaps in ``keep``."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in stream:
+            for batch in batches([whole], BATCH_BYTES):
+                at = batch.schema.get_field_index(text)
+                bodies = batch.column(at).cast(pa.binary()).to_pylist()
+                kept = [t if k is None else kept_lines(k, t) for k, t in zip(batch.column(keep).to_pylist(), bodies)]
+                column = pa.array(kept, pa.binary()).cast(batch.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays([column if i == at else batch.column(i) for i in range(batch.num_columns)], schema=batch.schema)
+
+    return run
 
 
 def with_kept_text(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -148,7 +153,19 @@ def with_kept_text(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         "keep",
         "text_utf8",
     )
-    return joined.mapInArrow(_apply, joined.schema)
+    return joined.mapInArrow(_apply("text_utf8", "keep"), joined.schema)
+
+
+def deduplicated_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with the kept lines as text; n_chars, where there is one, follows it."""
+    dropped = line_bitmaps(docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("keep").alias("_keep"))
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64("text"))
+    joined = keyed.join(dropped, ["_id", "_hash"], "left").drop("_id", "_hash")
+    kept = joined.mapInArrow(_apply("text", "_keep"), joined.schema)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("_keep").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        kept = kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return kept.select(docs.columns)
 
 
 def op9_line_dedup(docs: DataFrame) -> DataFrame:

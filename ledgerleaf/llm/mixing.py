@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.tools import doc_rows, hash_bucket, root_of, running
+from ledgerleaf.llm.tools import NO_ID, doc_rows, hash_bucket, root_of, running
 from ledgerleaf.session import written
 
 WEIGHTS = (3, 1, 2)
@@ -168,7 +168,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     rows, pieces = mix(docs)
     copies = pieces.groupBy("rank", "start", "again").agg(F.sum("words").alias("_words"))
     plan = rows.filter("size > 0").join(copies, ["rank", "start"]).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_words", (F.col("_words") == F.col("size")).alias("_whole"))
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("_hash", F.xxhash64("text", "source"))
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64("text", "source"))
     taken = keyed.dropDuplicates(["_id", "_hash"]).join(plan, ["_id", "_hash"]).drop("_id", "_hash")
     cut = taken.filter("NOT _whole").mapInArrow(_cut, taken.schema)
     mixed = taken.filter("_whole").union(cut)

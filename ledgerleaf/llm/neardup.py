@@ -8,12 +8,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm.blocks import blocked_pairs
 from ledgerleaf.llm.components import components
-from ledgerleaf.llm.tools import batches, doc_rows, text_bytes, with_texts, words
+from ledgerleaf.llm.tools import NO_ID, batches, doc_rows, text_bytes, with_texts, words
 from ledgerleaf.session import written
 
 SHINGLE = 5
@@ -200,5 +200,15 @@ def _likely(percent: int, coordinates: int):
     return match
 
 
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, one for each doc_id."""
+    kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
+    found = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(kept, "_id")
+    once = found.filter("_rows = 1").select(docs.columns)
+    order = Window.partitionBy("_id").orderBy(F.xxhash64(*docs.columns))
+    again = found.filter("_rows > 1").withColumn("_turn", F.row_number().over(order)).filter("_turn = 1")
+    return once.union(again.select(docs.columns))
+
+
 def op8_near_duplicates(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.features import byte_map, flattened, ngram_hashes, text_batches, word_hashes
-from ledgerleaf.llm.tools import doc_rows, text_bytes
+from ledgerleaf.llm.features import SLICE_BYTES, byte_map, flattened, ngram_hashes, text_batches, word_hashes
+from ledgerleaf.llm.tools import batches, doc_rows, text_bytes
 
 BUCKET_BITS = 18
 DIMENSIONS = 16
@@ -100,18 +100,22 @@ def train(texts: list[bytes], labels: np.ndarray, classes: int = 2, bits: int =
     return SubwordModel(vectors, output, bias)
 
 
+def probabilities(texts: list[bytes], shares: np.ndarray, bias: np.ndarray, bits: int) -> np.ndarray:
+    """The softmax probability of class 1 of whole texts."""
+    sums, counts = np.zeros((len(texts), shares.shape[1])), np.zeros(len(texts))
+    for features, owner in feature_rows(texts, bits):
+        counts += np.bincount(owner, minlength=len(texts))
+        for k in range(shares.shape[1]):
+            sums[:, k] += np.bincount(owner, shares[features, k], minlength=len(texts))
+    logits = sums / np.maximum(1, counts)[:, None] + bias
+    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return p[:, 1] / p.sum(axis=1)
+
+
 def _scored(shares: np.ndarray, bias: np.ndarray, bits: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(stream):
-            sums, counts = np.zeros((len(texts), shares.shape[1])), np.zeros(len(texts))
-            for features, owner in feature_rows(texts, bits):
-                counts += np.bincount(owner, minlength=len(texts))
-                for k in range(shares.shape[1]):
-                    sums[:, k] += np.bincount(owner, shares[features, k], minlength=len(texts))
-            logits = sums / np.maximum(1, counts)[:, None] + bias
-            p = np.exp(logits - logits.max(axis=1, keepdims=True))
-            score = p[:, 1] / p.sum(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(probabilities(texts, shares, bias, bits))], ["doc_id", "score"])
 
     return run
 
@@ -137,3 +141,16 @@ def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     scored = score_documents(docs, fit(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def good_documents(docs: DataFrame, model: SubwordModel, least: float = 0.5, bits: int = BUCKET_BITS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``least`` or more."""
+    shares, bias = model.folded(), model.bias
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in stream:
+            for batch in batches([whole], SLICE_BYTES):
+                texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+                yield batch.filter(pa.array(probabilities(texts, shares, bias, bits) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
