@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.blocks import blocked_pairs
+from ledgerleaf.llm.blocks import Columns, blocked_links
 from ledgerleaf.llm.components import components
 from ledgerleaf.llm.tools import NO_ID, batches, doc_rows, text_bytes, with_texts, words
 from ledgerleaf.session import written
@@ -21,6 +20,8 @@ PERCENT = 75
 COORDINATES = 128
 BAND = 4
 BATCH_BYTES = 8 << 20
+SKETCHES_PER_BLOCK = 4096
+TEXTS_PER_BLOCK = 256
 # An estimate from 128 coordinates lies this far under its mean once in ten million.
 MARGIN = 0.2
 
@@ -101,21 +102,24 @@ def _sketched(coordinates: int, band: int, size: int):
     return run
 
 
+def shingle_set(text: bytes, size: int) -> set:
+    w = words(text)
+    return set(zip(*(w[i:] for i in range(size)))) if len(w) >= size else {tuple(w)}
+
+
+def alike(s: set, u: set, percent: int) -> bool:
+    both = len(s & u)
+    return 100 * both >= percent * (len(s) + len(u) - both)
+
+
 def _confirmed(percent: int, size: int):
     """Keep the pairs whose full shingle sets meet the threshold."""
 
-    def shingles(text: bytes) -> set:
-        w = words(text)
-        return set(zip(*(w[i:] for i in range(size)))) if len(w) >= size else {tuple(w)}
-
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in stream:
             for batch in batches([whole], BATCH_BYTES):
-                ok = []
-                for x, y in zip(batch.column("text_a"), batch.column("text_b")):
-                    s, u = shingles(x.as_py()), shingles(y.as_py())
-                    both = len(s & u)
-                    ok.append(100 * both >= percent * (len(s) + len(u) - both))
+                texts = zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())
+                ok = [alike(shingle_set(x, size), shingle_set(y, size), percent) for x, y in texts]
                 yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
@@ -140,8 +144,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     Equal sets are one class with one sketch.  Bands of the sketches are buckets.  Each
     member is first compared with the smallest document of its buckets, which joins the
     copies of one text without pairs among them.  Only buckets that still hold more than
-    one component are compared in full, in blocks, by sketch with a wide margin; pairs
-    that pass are confirmed on their full sets like the first ones.
+    one component are compared in full, in blocks, by sketch with a wide margin.  What
+    this brings together forms clusters, whose documents are compared, again in blocks,
+    by sketch and then on their full sets.
     """
     rows = doc_rows(docs, text_bytes().alias("text_utf8"))
     sketched = written(rows.mapInArrow(_sketched(coordinates, band, size), ROW), "sketches")
@@ -169,11 +174,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 
     placed = buckets.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
-    left = placed.join(mixed_, "bucket").join(heads.select("node", "n", "low"), "node")
-    rest = blocked_pairs(written(left, "mixed-buckets"), "bucket", _likely(percent, coordinates))
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        links = written(links.union(confirm(rest, rows, percent, size)), "links")
+    apart = written(placed.join(mixed_, "bucket").join(heads.select("node", "n", "low"), "node"), "apart")
+    near = written(blocked_links(apart, "bucket", _likely(percent, coordinates), SKETCHES_PER_BLOCK, every_pair=False), "near")
+    if not near.isEmpty():
+        clusters = components(near).withColumnRenamed("component", "cluster")
+        facts = apart.select("node", "component", "n", "low").dropDuplicates(["node"]).join(clusters, "node")
+        texts = rows.hint("merge").select(F.col("doc_id").alias("node"), "text_utf8")
+        facts = written(facts.join(texts, "node"), "cluster-texts")
+        more = blocked_links(facts, "cluster", _linked(percent, size, coordinates), TEXTS_PER_BLOCK, every_pair=False)
+        links = written(links.union(more), "links")
         groups = written(components(links), "groups")
 
     component = F.coalesce("component", "node")
@@ -185,10 +194,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 def _likely(percent: int, coordinates: int):
     """Pairs of different components whose sizes and sketches allow the threshold."""
 
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
-        n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
+    def match(left: Columns, right: Columns) -> np.ndarray:
+        n, m = left["n"][:, None], right["n"][None, :]
         ok = np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
-        ok &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
+        ok &= left["component"][:, None] != right["component"][None, :]
+        if not ok.any():
+            return ok
         a = np.frombuffer(b"".join(left["low"]), np.uint8).reshape(len(left), coordinates)
         b = np.frombuffer(b"".join(right["low"]), np.uint8).reshape(len(right), coordinates)
         least = (percent / 100 - MARGIN) * coordinates
@@ -210,5 +221,25 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     return once.union(again.select(docs.columns))
 
 
+def _linked(percent: int, size: int, coordinates: int):
+    """Of the likely pairs those that meet the threshold on their full sets."""
+    likely = _likely(percent, coordinates)
+
+    def match(left: Columns, right: Columns) -> np.ndarray:
+        ok = likely(left, right)
+        sets: list[dict[int, set]] = [{}, {}]
+
+        def of(side: int, columns: Columns, k: int) -> set:
+            if k not in sets[side]:
+                sets[side][k] = shingle_set(columns["text_utf8"][k], size)
+            return sets[side][k]
+
+        for i, j in zip(*np.nonzero(ok)):
+            ok[i, j] = alike(of(0, left, i), of(1, right, j), percent)
+        return ok
+
+    return match
+
+
 def op8_near_duplicates(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)

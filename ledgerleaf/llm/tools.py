@@ -77,10 +77,12 @@ def batches(stream: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Re
 def with_texts(pairs: DataFrame, texts: DataFrame, member: str, hub: str) -> DataFrame:
     """Add ``text_<member>`` and ``text_<hub>`` to pairs of doc_ids.
 
-    Texts move once by doc_id, and the pairs once more with the member's text.  A hub that
-    is paired with very many is a skewed key of a plain join.  ``pairs`` is read twice.
+    Texts move once by doc_id, and the pairs once more with the member's text, at every
+    size alike.  A hub that is paired with very many is a skewed key of a plain join.
+    ``pairs`` is read twice.
     """
-    hubs = texts.join(pairs.select(F.col(hub).alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = texts.hint("merge")
+    hubs = texts.join(pairs.select(F.col(hub).alias("doc_id")).distinct(), "doc_id", "left_semi").hint("merge")
     mine = texts.select(F.col("doc_id").alias(member), F.col("text_utf8").alias(f"text_{member}"))
     theirs = hubs.select(F.col("doc_id").alias(hub), F.col("text_utf8").alias(f"text_{hub}"))
     return pairs.join(mine, member).join(theirs, hub)

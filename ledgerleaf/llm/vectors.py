@@ -7,12 +7,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.blocks import blocked_pairs
+from ledgerleaf.llm.blocks import Columns, blocked_links
 from ledgerleaf.llm.components import components
 from ledgerleaf.session import written
 
@@ -92,6 +91,8 @@ class CrossPolytope:
 def tables_needed(dims: int, functions: int, probes: int, cosine: float, miss: float, seed: int = SEED) -> int:
     """How many tables leave at most ``miss`` of the pairs at the threshold without a common
     bucket, by the share of simulated pairs that one table brings together."""
+    if dims < 2:
+        return 1
     rng = np.random.default_rng(seed)
     a = rng.standard_normal((TRIALS, dims))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
@@ -146,10 +147,10 @@ def _hashed(lsh: CrossPolytope, dims: int, probes: int):
 
 
 def _near(cosine: float, dims: int):
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+    def match(left: Columns, right: Columns) -> np.ndarray:
         a = np.frombuffer(b"".join(left["unit"]), np.float64).reshape(-1, dims)
         b = np.frombuffer(b"".join(right["unit"]), np.float64).reshape(-1, dims)
-        return (a @ b.T >= cosine) & (left["home"].to_numpy()[:, None] | right["home"].to_numpy()[None, :])
+        return (a @ b.T >= cosine) & (left["home"][:, None] | right["home"][None, :])
 
     return match
 
@@ -187,7 +188,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBE
     placed = written(hashed.withColumn("bucket", F.xxhash64("label", "tab", "cell")), "buckets")
     met = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.max("home").alias("lived_in")).filter("n > 1 AND lived_in")
     shared = written(placed.join(met.select("bucket"), "bucket").select("bucket", "node", "label", "unit", "home"), "shared")
-    pairs = written(blocked_pairs(shared, "bucket", _near(cosine, dims)), "pairs")
+    pairs = written(blocked_links(shared, "bucket", _near(cosine, dims)), "pairs")
 
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = heads.select("node", "copies")
