@@ -98,6 +98,11 @@ FIELD_ALIASES = {
     "phone number": "phone",
     "contact": "phone",
 }
+# What a Unicode-aware strip removes at both ends.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 VALID_EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
 VALID_PHONE_PATTERN = r"^\+?[\d\s\-().]+$"
 PHONE_DIGITS = (7, 15)
@@ -114,6 +119,7 @@ DATE_FORMATS = (
     (r"^[A-Za-z]+\s+\d{1,2},\s+\d{4}$", "MMMM d, yyyy"),
     (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
 )
+YEAR_ZERO = r"(^|\D)0000(\D|$)"
 INVALID_REASONS = {
     "email": "not a valid email address",
     "phone": "not a valid phone number",
@@ -179,6 +185,10 @@ MSG_INVALID = "Invalid fields: %s"
 MSG_POSSIBLE_DUPLICATE = "Possible duplicate document"
 MSG_TRANSITION = "Invalid transition: %s -> %s"
 MSG_DOC_NOT_FOUND = "Document %s not found"
+MSG_DECISION = "Unknown decision: %s"
+MSG_NOT_FOUND_IN_SCAN = "'%s' was listed but not found."
+NOTE_NO_OCR = "OCR is not available, so scanned pages were skipped."
+NOTE_OCR_FAILED = "OCR failed on at least one page."
 
 # --- fixed values: trace labels ----------------------------------------------
 STEP_VALIDATE, STEP_HASH, STEP_DUPLICATE = "Validate", "Hash", "Duplicate check"

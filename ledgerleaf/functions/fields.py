@@ -85,7 +85,8 @@ def valid_date(value: Column) -> Column:
     """One of the accepted shapes and a day that exists in the calendar.
 
     Month names are folded to title case, which is how Spark spells them; the
-    digit-count guard refuses shapes that Spark alone would read leniently.
+    digit-count guard refuses shapes that Spark alone would read leniently, and
+    there is no year 0000.
     """
     text = strip_all(value)
     titled = F.regexp_replace(F.initcap(F.lower(text)), r"\s+", " ")
@@ -96,7 +97,7 @@ def valid_date(value: Column) -> Column:
     result = hits[0]
     for hit in hits[1:]:
         result = result | hit
-    return F.coalesce(result, F.lit(False))
+    return F.coalesce(result & ~F.rlike(text, F.lit(C.YEAR_ZERO)), F.lit(False))
 
 
 def parse_amount(value: Column) -> Column:

@@ -16,8 +16,8 @@ def strip(col: Column) -> Column:
 
 
 def strip_all(col: Column) -> Column:
-    """Trim every ASCII whitespace character at both ends."""
-    return F.btrim(col, F.lit(" \t\n\r\f\x0b"))
+    """Trim every white space character, of ASCII and beyond, at both ends."""
+    return F.btrim(col, F.lit(C.WHITE_SPACE))
 
 
 def blank_to_null(col: Column) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators.skew import salted_join
+from ledgerleaf.session import written
+
+# The order in which the rows of one run were made.
+MADE = ("pos", "document_id", "step")
 
 
 def audit_rows(events: DataFrame, stamped_at=None) -> DataFrame:
@@ -15,6 +18,24 @@ def audit_rows(events: DataFrame, stamped_at=None) -> DataFrame:
     return events.withColumns({"ts": ts, "reason": F.coalesce("reason", F.lit(""))})
 
 
+def numbered(rows: DataFrame, first_id: int = 1, stamped_at=None, order=MADE) -> DataFrame:
+    """Rows of an operator as rows of the log: ``id`` counts on from ``first_id`` in
+    ``order``, without a gap, and ``ts`` is filled in.
+
+    The rows are range-partitioned; a row's id is the number of rows in the ranges
+    before its own and its place there, so no task meets them all.
+    """
+    ranged = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "audit")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    starts = starts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    placed = ranged.join(starts, "_part").withColumn("id", F.col("_start") + place + (first_id - 1))
+    return audit_rows(placed, stamped_at).select(
+        "id", "document_id", "action", "previous_status", "new_status", "ts", "reason"
+    )
+
+
 def history(audit: DataFrame, documents: DataFrame | None = None, document_id=None) -> DataFrame:
     """Audit rows of one document, of a table of ids, or of all, oldest first.
 
@@ -25,7 +46,7 @@ def history(audit: DataFrame, documents: DataFrame | None = None, document_id=No
         audit = audit.filter(F.col("document_id") == document_id)
     if documents is not None:
         ids = documents.select(F.col("doc_id").alias("document_id"))
-        audit = salted_join(audit, ids, "document_id", spread_by="id", how="left_semi")
+        audit = audit.join(ids, "document_id", "left_semi")
     return audit.orderBy("document_id", "id").select(
         "document_id", "action", "previous_status", "new_status", "ts", "reason"
     )

@@ -6,8 +6,8 @@ or marks them by id.  Spark knows the size of that table when it plans the last
 join: the documents move only if the duplicates are too many to broadcast.
 
 A group of identical files may be huge.  Its first row comes from a partial
-aggregate, and joins on the hash are salted for the groups that the same
-aggregate shows to be hot.
+aggregate, and rows meet it in plain joins, whose skewed partitions adaptive
+execution splits.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators.skew import largest, salted_join
 from ledgerleaf.session import written
 
 ORDER = ("upload_ts", "doc_id")
@@ -29,69 +28,65 @@ def keys_of(df: DataFrame, order=ORDER) -> DataFrame:
 
 def repeats(keys: DataFrame, order=ORDER) -> DataFrame:
     """Ids of all rows but the first of their hash, in ``order``."""
-    groups = (
-        keys.groupBy(HASH)
-        .agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > 1)
-    )
-    groups = written(groups, "groups")
-    firsts = groups.select(HASH, F.col(f"_first.{ID}").alias("_first_id"))
-    hot = largest(groups, HASH, "_rows")
-    joined = salted_join(keys, firsts, HASH, spread_by=ID, hot=hot)
-    return written(joined.filter(F.col(ID) != F.col("_first_id")).select(ID), "repeats")
+    firsts = keys.groupBy(HASH).agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_rows"))
+    firsts = firsts.filter(F.col("_rows") > 1).select(HASH, F.col(f"_first.{ID}").alias("_first_id"))
+    return written(keys.join(firsts, HASH).filter(F.col(ID) != F.col("_first_id")).select(ID), "repeats")
 
 
 def keep_first(df: DataFrame, order=ORDER) -> DataFrame:
     """One row per hash, the earliest.  Rows without a hash stay.
 
-    The keys of ``df`` are read several times: give it a stored hash, or write
-    the keys to a table first where the hash has to be computed.
+    The keys are written first, so a hash that has to be computed is computed once
+    for them and once for the rows that are kept.
     """
-    return df.join(repeats(keys_of(df, order), order), ID, "left_anti")
+    return df.join(repeats(written(keys_of(df, order), "keys"), order), ID, "left_anti")
 
 
 def flag_repeats(df: DataFrame, flag: str = "is_duplicate", order=ORDER) -> DataFrame:
     """Adds ``flag``: true for every row of a hash but the earliest."""
-    later = repeats(keys_of(df, order), order).withColumn("_later", F.lit(True))
+    later = repeats(written(keys_of(df, order), "keys"), order).withColumn("_later", F.lit(True))
     return df.join(later, ID, "left").select(*df.columns, F.col("_later").isNotNull().alias(flag))
 
 
-def library_matches(keys: DataFrame, library: DataFrame) -> DataFrame:
-    """(id, existing_id, existing_filename) of the rows whose hash is stored.
+def match_library(batch: DataFrame, library: DataFrame) -> DataFrame:
+    """The batch with ``existing_id`` and ``existing_filename`` (NULL if new).
 
     ``library`` has one row per hash, with ``doc_id`` and ``original_filename``.
-    The batch is reduced to its distinct hashes before it meets the library.
     """
-    counts = written(keys.groupBy(HASH).agg(F.count("*").alias("_rows")), "hashes")
+    keys = written(keys_of(batch), "keys")
     stored = library.select(
-        HASH,
-        F.col("doc_id").alias("existing_id"),
-        F.col("original_filename").alias("existing_filename"),
-    ).join(counts.select(HASH), HASH, "left_semi")
-    joined = salted_join(
-        keys.select(HASH, ID), stored, HASH, spread_by=ID, hot=largest(counts, HASH, "_rows")
+        HASH, F.col("doc_id").alias("existing_id"), F.col("original_filename").alias("existing_filename")
     )
-    return written(joined.select(ID, "existing_id", "existing_filename"), "matches")
-
-
-def match_library(batch: DataFrame, library: DataFrame) -> DataFrame:
-    """The batch with ``existing_id`` and ``existing_filename`` (NULL if new)."""
-    return batch.join(library_matches(keys_of(batch), library), ID, "left")
+    matches = written(keys.select(HASH, ID).join(stored, HASH).drop(HASH), "matches")
+    return batch.join(matches, ID, "left")
 
 
 def verdicts(keys: DataFrame, library: DataFrame) -> DataFrame:
     """The duplicates of a batch: (id, existing_id, existing_filename, repeated).
 
-    A row is here if the library holds its hash or an earlier row of the batch
-    has it.
+    A row is here if the library holds its hash, or if an earlier row of the batch
+    has it (``repeated``); the existing row is the library's, or else that first row
+    with the name it came with.  One aggregate on the hash gives the first row; the
+    library is joined to it, not to the batch.  ``keys`` is read twice.
     """
-    later = repeats(keys).withColumn("repeated", F.lit(True))
-    every = (
-        library_matches(keys, library)
-        .join(later, ID, "full_outer")
-        .withColumn("repeated", F.coalesce("repeated", F.lit(False)))
+    named = keys if "filename" in keys.columns else keys.withColumn("filename", F.lit(None).cast("string"))
+    firsts = named.groupBy(HASH).agg(F.min(F.struct(*ORDER, "filename")).alias("_first"))
+    stored = library.select(HASH, F.col("doc_id").alias("_stored_id"), F.col("original_filename").alias("_stored_name"))
+    owners = firsts.join(stored, HASH, "left").select(
+        HASH,
+        F.col(f"_first.{ID}").alias("_first_id"),
+        F.col("_first.filename").alias("_first_name"),
+        "_stored_id",
+        "_stored_name",
+    )
+    in_library, repeated = F.col("_stored_id").isNotNull(), F.col(ID) != F.col("_first_id")
+    found = keys.select(HASH, ID).join(owners, HASH).filter(in_library | repeated).select(
+        ID,
+        F.coalesce("_stored_id", "_first_id").alias("existing_id"),
+        F.when(in_library, F.col("_stored_name")).otherwise(F.col("_first_name")).alias("existing_filename"),
+        repeated.alias("repeated"),
     )
-    return written(every, "verdicts")
+    return written(found, "verdicts")
 
 
 def new_rows(batch: DataFrame, library: DataFrame) -> DataFrame:

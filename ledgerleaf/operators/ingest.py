@@ -10,16 +10,17 @@ from ledgerleaf.functions import extract, status, upload
 from ledgerleaf.functions.classify import with_rule_label
 from ledgerleaf.functions.common import literal_map, no_strings
 from ledgerleaf.functions.text import clean_text, is_too_short, text_preview
-from ledgerleaf.operators.dedup import keys_of, verdicts
+from ledgerleaf.operators.dedup import ORDER, verdicts
 from ledgerleaf.session import written
 
 
 def validated(files: DataFrame) -> DataFrame:
     """Adds ``ext``, ``upload_error`` and, for accepted files, ``file_hash``."""
     name, ext = F.col("filename"), F.col("ext")
+    lost = F.col("lost") if "lost" in files.columns else None
     return (
         files.withColumn("ext", upload.file_extension(name))
-        .withColumn("upload_error", upload.upload_error(name, ext, F.col("size"), F.col("content")))
+        .withColumn("upload_error", upload.upload_error(name, ext, F.col("size"), F.col("content"), lost))
         .withColumn(
             "file_hash",
             F.when(F.col("upload_error").isNull(), upload.content_hash(F.col("content"))),
@@ -84,29 +85,33 @@ def outcome(files: DataFrame, library: DataFrame) -> DataFrame:
     """Kind of outcome and message of every uploaded file.
 
     A file repeats another when its hash is in the library, or when an earlier
-    file of the same batch has it.
+    file of the same batch has it, as if the files came one after another; the
+    message names the stored file.  Optional columns ``store_error`` and
+    ``metadata_error`` hold what went wrong when a new file was stored.
     """
     checked = validated(files)
+    for column in ("store_error", "metadata_error"):
+        if column not in checked.columns:
+            checked = checked.withColumn(column, F.lit(None).cast("string"))
     # The bytes are hashed once into a narrow table that finds the duplicates.
-    keys = written(keys_of(checked), "keys")
+    keys = written(checked.select("file_hash", *ORDER, "filename").filter("file_hash IS NOT NULL"), "keys")
     checked = checked.join(verdicts(keys, library), "doc_id", "left")
     kind = (
         F.when(F.col("upload_error").isNotNull(), "rejected")
         .when(F.col("repeated").isNotNull(), "duplicate")
+        .when(F.col("store_error").isNotNull() | F.col("metadata_error").isNotNull(), "error")
         .otherwise("new")
     )
-    # Only new files carry their text on: the others cost no text work.
+    # Only files to store carry their text on: the others cost no text work.
     judged = checked.withColumn("kind", kind).withColumn(
-        "text", F.when(F.col("kind") == "new", F.col("text"))
+        "text", F.when(F.col("kind").isin("new", "error"), F.col("text"))
     )
     results = processed(judged)
     message = (
         F.when(F.col("upload_error").isNotNull(), F.col("upload_error"))
-        .when(
-            F.col("existing_id").isNotNull(),
-            F.format_string(C.MSG_DUPLICATE, F.col("existing_filename")),
-        )
-        .when(F.col("repeated"), C.MSG_DUPLICATE_RACE)
+        .when(F.col("existing_filename").isNotNull(), F.format_string(C.MSG_DUPLICATE, F.col("existing_filename")))
+        .when(F.col("repeated").isNotNull(), C.MSG_DUPLICATE_RACE)
+        .when(F.col("kind") == "error", F.coalesce("store_error", "metadata_error"))
         .otherwise(F.try_element_at(literal_map(C.MSG_SAVED), F.col("status")))
     )
     return results.withColumn("message", message)
@@ -130,6 +135,8 @@ def trace(outcomes: DataFrame) -> DataFrame:
         error.isNull() & F.col("used_ocr"), _step(C.STEP_READ_SCANNED, ok)
     ).otherwise(_step(C.STEP_READ, F.when(error.isNotNull(), "fail").otherwise("ok")))
     opening = F.array(_step(C.STEP_VALIDATE, ok), _step(C.STEP_HASH, ok))
+    not_stored = F.col("store_error").isNotNull()
+    last = F.array(_step(C.STEP_STORE_META, F.when(F.col("metadata_error").isNotNull(), "fail").otherwise("ok")))
     steps = (
         F.when(kind == "rejected", F.array(_step(C.STEP_VALIDATE, F.lit("fail"))))
         .when(
@@ -144,9 +151,9 @@ def trace(outcomes: DataFrame) -> DataFrame:
                     _step(C.STEP_CLEAN, after_read.when(short, "fail").otherwise("ok")),
                     _step(C.STEP_CLASSIFY, after_clean),
                     _step(C.STEP_EXTRACT, after_clean),
-                    _step(C.STEP_STORE_FILE, ok),
-                    _step(C.STEP_STORE_META, ok),
+                    _step(C.STEP_STORE_FILE, F.when(not_stored, "fail").otherwise("ok")),
                 ),
+                F.when(not_stored, F.slice(last, 1, 0)).otherwise(last),
             )
         )
     )

@@ -10,14 +10,32 @@ from ledgerleaf.functions.extract import found, render_fields
 from ledgerleaf.functions.fields import load_fields
 from ledgerleaf.functions.status import with_status
 from ledgerleaf.functions.text import blank_to_null, strip_all
+from ledgerleaf.functions.upload import folder_for, stored_path
 
 
-def apply_updates(documents: DataFrame, changes: DataFrame) -> DataFrame:
+def last_change(changes: DataFrame, key: str = "doc_id", order: str = "seq") -> DataFrame:
+    """One row per key: the last in ``order``, where the table has that column.
+
+    Changes of one document follow each other and the last one stands.  Rows that
+    share an order, or have none, are compared by their values.
+    """
+    values = [c for c in changes.columns if c not in (key, order)]
+    if not values:
+        return changes.select(key).distinct()
+    simple = [c for c in values if not dict(changes.dtypes)[c].startswith("map")]
+    shown = [F.to_json(F.struct(c)) for c in values if c not in simple]
+    rank = F.struct(*([order] if order in changes.columns else []), *simple, *shown)
+    last = changes.groupBy(key).agg(F.max_by(F.struct(*values), rank).alias("_last"))
+    return last.select(key, "_last.*")
+
+
+def apply_updates(documents: DataFrame, changes: DataFrame, order: str = "seq") -> DataFrame:
     """Replace the columns that ``changes`` has, in the rows it names.
 
-    ``changes`` has ``doc_id`` (unique) and updatable columns only.  A NULL
-    there is a value like any other.  Adds ``changed``.
+    ``changes`` has ``doc_id``, updatable columns and, if ids repeat, ``order``.  A
+    NULL there is a value like any other.  Adds ``changed``.
     """
+    changes = last_change(changes, order=order)
     columns = [c for c in changes.columns if c != "doc_id"]
     unknown = sorted(set(columns) - set(C.UPDATABLE_COLUMNS))
     if unknown:
@@ -45,20 +63,31 @@ def apply_deletes(documents: DataFrame, ids: DataFrame) -> tuple[DataFrame, Data
 
 
 def delete_report(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """Each requested id with the stored name, or NULL, and the message."""
-    stored = documents.select("doc_id", F.col("stored_filename").alias("removed_file"))
+    """Each requested id with the stored name and path, or NULL, and the message."""
+    path = F.col("file_path") if "file_path" in documents.columns else stored_path(
+        folder_for(F.col("document_type")), F.col("stored_filename")
+    )
+    stored = documents.select("doc_id", F.col("stored_filename").alias("removed_file"), path.alias("removed_path"))
     return ids.select("doc_id").distinct().join(stored, "doc_id", "left").withColumn(
         "message", F.when(F.col("removed_file").isNull(), C.MSG_GONE).otherwise(C.MSG_DELETED)
     )
 
 
-def apply_corrections(documents: DataFrame, corrections: DataFrame) -> DataFrame:
+def unknown_corrections(documents: DataFrame, corrections: DataFrame) -> DataFrame:
+    """(doc_id, message) of the corrections whose document is not stored."""
+    gone = corrections.select("doc_id").distinct().join(documents.select("doc_id"), "doc_id", "left_anti")
+    return gone.withColumn("message", F.lit(C.MSG_GONE))
+
+
+def apply_corrections(documents: DataFrame, corrections: DataFrame, order: str = "seq") -> DataFrame:
     """A person's corrected fields (doc_id, new_fields MAP) replace the stored.
 
     Values are trimmed; a blank one counts as not found.  Status and search
     columns follow from the new fields; the classifier's confidence does not
-    matter any more.
+    matter any more.  Of several corrections of a document the last in ``order``
+    stands; those of unknown documents are in ``unknown_corrections``.
     """
+    corrections = last_change(corrections, order=order).select("doc_id", "new_fields")
     tidy = F.transform_values("new_fields", lambda _, v: blank_to_null(strip_all(v)))
     joined = documents.join(corrections.withColumn("_fields", tidy), "doc_id", "left")
     hit = F.col("new_fields").isNotNull()

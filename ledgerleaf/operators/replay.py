@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions import states
 
-CHUNK = 1024
+CHUNK = 64
 
 
 def replay(
@@ -26,28 +26,33 @@ def replay(
     seq: str = "seq",
     requested: str = "requested_state",
     chunk: int = CHUNK,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Every request with ``previous_status``, ``new_status`` and ``applied``.
+    """Every request with ``previous_status``, ``new_status`` and ``applied``, its
+    columns named in ``keep``, and ``turn``, which orders requests that share a
+    sequence number.
 
-    ``requests`` needs a sequence number that is a whole number, not negative
-    and unique within its document.  ``initial`` has (document, workflow_status);
+    The sequence number is a whole number, not negative.  Requests without one come
+    first; those that share one are ordered by their kept columns, and each is
+    judged.  ``initial`` has (document, workflow_status), one row per document;
     documents without a row there start as new.
     """
-    base = requests.select(
-        F.col(doc).alias("_doc"), F.col(seq).cast("long").alias("_seq"), F.col(requested).alias("_req")
-    )
-    span = base.agg(F.max("_seq")).first()[0] or 0
-    leaf = base.select(
-        "_doc", F.col("_seq").alias("_node"), states.request_mapping(F.col("_req")).alias("_map")
+    carried = F.struct(F.col(seq).alias("_seq"), *keep).alias("_kept")
+    nodes = requests.select(
+        F.col(doc).alias("_doc"),
+        _place(seq).alias("_node"),
+        states.request_mapping(F.col(requested)).alias("_map"),
+        carried,
     )
+    span = nodes.agg(F.max("_node")).first()[0] or 0
 
     levels = []  # bottom-up: (document, chunk, ordered children)
-    nodes = leaf
     while True:
+        child = [c for c in ("_node", "_kept", "_map") if c in nodes.columns]
         grouped = (
             nodes.withColumn("_chunk", F.floor(F.col("_node") / F.lit(chunk)))
             .groupBy("_doc", "_chunk")
-            .agg(F.array_sort(F.collect_list(F.struct("_node", "_map"))).alias("_children"))
+            .agg(F.array_sort(F.collect_list(F.struct(*child))).alias("_children"))
         )
         levels.append(grouped)
         span //= chunk
@@ -74,17 +79,25 @@ def replay(
             entered.select("_doc", F.col("_node").alias("_chunk"), F.col("_before").alias("_entry")),
             ["_doc", "_chunk"],
         )
-    judged = entry.select("_doc", F.inline(_entry_states(F.col("_children"), F.col("_entry"))))
+    entered = _entry_states(F.col("_children"), F.col("_entry"), "_kept")
+    judged = entry.select("_doc", F.posexplode(entered).alias("turn", "_child")).select("_doc", "turn", "_child.*")
     after = states.apply_mapping(F.col("_map"), F.col("_before"))
     return judged.select(
         F.col("_doc").alias(doc),
-        F.col("_node").alias(seq),
+        F.col("_kept._seq").alias(seq),
+        *(F.col(f"_kept.{name}").alias(name) for name in keep),
         states.state_name(F.col("_before")).alias("previous_status"),
         states.state_name(after).alias("new_status"),
         (after != F.col("_before")).alias("applied"),
+        "turn",
     )
 
 
+def _place(seq: str) -> Column:
+    """Where a request stands: those without a sequence number before all others."""
+    return F.coalesce(F.col(seq).cast("long") + 1, F.lit(0).cast("long"))
+
+
 def _folded(children: Column) -> Column:
     return F.aggregate(
         children,
@@ -93,8 +106,8 @@ def _folded(children: Column) -> Column:
     )
 
 
-def _entry_states(children: Column, entry: Column) -> Column:
-    """ARRAY of (node, map, before): each child with the state it starts in."""
+def _entry_states(children: Column, entry: Column, *more: str) -> Column:
+    """ARRAY of (node, map, before, *more): each child with the state it starts in."""
     start = F.struct(
         entry.alias("state"), F.expr("CAST(array() AS ARRAY<BIGINT>)").alias("befores")
     )
@@ -111,7 +124,10 @@ def _entry_states(children: Column, entry: Column) -> Column:
         children,
         befores,
         lambda child, before: F.struct(
-            child["_node"].alias("_node"), child["_map"].alias("_map"), before.alias("_before")
+            child["_node"].alias("_node"),
+            child["_map"].alias("_map"),
+            before.alias("_before"),
+            *(child[name].alias(name) for name in more),
         ),
     )
 
@@ -121,7 +137,7 @@ def final_states(
 ) -> DataFrame:
     """Last state of every replayed document, with counts of both kinds."""
     return judged.groupBy(doc).agg(
-        F.max_by(state, seq).alias("workflow_status"),
+        F.max_by(state, F.struct(F.coalesce(F.col(seq).cast("long"), F.lit(-1)), "turn")).alias("workflow_status"),
         F.count_if("applied").alias("applied"),
         F.count_if(~F.col("applied")).alias("blocked"),
     )
@@ -131,7 +147,7 @@ def mapping_per_document(requests: DataFrame, doc: str, seq: str, requested: str
     """(document, mapping, requests): each history as one packed mapping."""
     base = requests.select(
         F.col(doc).alias("_doc"),
-        F.col(seq).cast("long").alias("_node"),
+        _place(seq).alias("_node"),
         states.request_mapping(F.col(requested)).alias("_map"),
         F.lit(1).cast("long").alias("_n"),
     )

@@ -139,6 +139,7 @@ def workflow_search(
             "original_filename",
             "document_type",
             "workflow_status",
+            *(c for c in ("review_reason",) if c in documents.columns),
             "confidence",
             "failed",
             "latest_action",

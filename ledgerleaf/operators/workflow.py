@@ -16,8 +16,9 @@ from ledgerleaf.functions import states
 from ledgerleaf.functions.fields import load_fields, with_validation
 from ledgerleaf.functions.rules import with_decision
 from ledgerleaf.functions.text import blank_to_null, strip_all
-from ledgerleaf.operators.replay import final_states, replay
-from ledgerleaf.operators.skew import hot_keys, salted_join
+from ledgerleaf.operators.dedup import ORDER, keys_of, repeats
+from ledgerleaf.operators.mutate import last_change
+from ledgerleaf.operators.replay import replay
 from ledgerleaf.session import written
 
 AUDIT_COLUMNS = (
@@ -34,24 +35,20 @@ class Change:
     refused: DataFrame
 
 
-def change_status(documents: DataFrame, requests: DataFrame) -> Change:
+def change_status(documents: DataFrame, requests: DataFrame, extra: tuple[str, ...] = ()) -> Change:
     """Apply ordered requests (document_id, seq, new_state, action, reason).
 
     Each is judged against the state its predecessors left.  Refused requests
     (unknown document or forbidden transition) change nothing and write no
-    audit row.
+    audit row.  ``extra`` names columns of the requests that a change sets in the
+    document along with its state.
     """
     known = documents.select(F.col("doc_id").alias("document_id"), "workflow_status")
     ids = known.select("document_id")
-    hot = hot_keys(requests, "document_id")
-    valid = salted_join(requests, ids, "document_id", "seq", "left_semi", hot)
-    judged = replay(valid, known, requested="new_state")
-    # Matched by (document, sequence): evenly spread, whatever the document.
-    history = judged.withColumnRenamed("new_status", "_after").join(
-        valid, ["document_id", "seq"]
-    )
+    valid = requests.join(ids, "document_id", "left_semi")
+    judged = replay(valid, known, requested="new_state", keep=("new_state", "action", "reason", *extra))
     # Written, because snapshot, audit rows and refusals all come from it.
-    history = written(history, "history")
+    history = written(judged, "history")
     audit = history.filter("applied").select(
         "document_id",
         F.col("seq").alias("pos"),
@@ -64,45 +61,46 @@ def change_status(documents: DataFrame, requests: DataFrame) -> Change:
     blocked = history.filter(~F.col("applied")).select(
         "document_id", "seq", transition_message(F.col("previous_status"), F.col("new_state")).alias("error")
     )
-    unknown = salted_join(requests, ids, "document_id", "seq", "left_anti", hot).select(
+    unknown = requests.join(ids, "document_id", "left_anti").select(
         "document_id", "seq", not_found_message(F.col("document_id")).alias("error")
     )
-    last = final_states(history, state="_after").select(
-        F.col("document_id").alias("doc_id"), F.col("workflow_status").alias("_state"), "applied"
-    )
-    snapshot = documents.join(last, "doc_id", "left").select(
-        *(
-            F.when(F.col("applied") > 0, F.col("_state")).otherwise(F.col(c)).alias(c)
-            if c == "workflow_status"
-            else F.col(c)
-            for c in documents.columns
-        )
-    )
-    return Change(snapshot, audit, blocked.unionByName(unknown))
+    last = last_applied(history, extra)
+    return Change(_overlaid(documents, last), audit, blocked.unionByName(unknown))
+
+
+def last_applied(history: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, _new): what the last applied request of each document leaves."""
+    new = F.struct(F.col("new_status").alias("workflow_status"), *extra)
+    place = F.struct(F.coalesce(F.col("seq").cast("long"), F.lit(-1)), F.col("turn"))
+    return history.filter("applied").groupBy(F.col("document_id").alias("doc_id")).agg(F.max_by(new, place).alias("_new"))
 
 
 def judge_requests(documents: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests (document_id, seq, requested_state) against the stored state:
-    adds ``allowed`` and, where it is not, ``error``.  Nothing is changed."""
+    adds ``allowed`` and, where it is not, ``error``.  Nothing is changed.  A request
+    on a document that is not stored is not allowed, and says so."""
     stored = documents.select(
         F.col("doc_id").alias("document_id"),
         states.current_state(F.col("workflow_status")).alias("_state"),
     )
-    joined = salted_join(requests, stored, "document_id", spread_by="seq")
+    joined = requests.join(stored, "document_id", "left")
+    known = F.col("_state").isNotNull()
     return joined.withColumns(
         {
-            "allowed": states.can_transition(F.col("_state"), F.col("requested_state")),
-            "error": states.transition_error(F.col("_state"), F.col("requested_state")),
+            "allowed": known & states.can_transition(F.col("_state"), F.col("requested_state")),
+            "error": F.when(~known, not_found_message(F.col("document_id"))).otherwise(
+                states.transition_error(F.col("_state"), F.col("requested_state"))
+            ),
         }
     ).drop("_state")
 
 
 def transition_message(current: Column, new: Column) -> Column:
-    return F.format_string(C.MSG_TRANSITION, current, new)
+    return F.format_string(C.MSG_TRANSITION, current, F.coalesce(new, F.lit("None")))
 
 
 def not_found_message(document_id: Column) -> Column:
-    return F.format_string(C.MSG_DOC_NOT_FOUND, document_id.cast("string"))
+    return F.format_string(C.MSG_DOC_NOT_FOUND, F.coalesce(document_id.cast("string"), F.lit("None")))
 
 
 @dataclass
@@ -131,13 +129,17 @@ def run_batch(
     rules=None,
     sentinel_is_blank: bool = True,
     processing_ms: float | None = None,
+    is_duplicate: str | None = None,
 ) -> BatchRun:
     """Run the workflow for ``batch`` (pos, document_id, given_confidence).
 
+    Documents with a content hash are flagged as duplicates if an earlier one has the
+    same; ``is_duplicate`` names a column with flags of the caller's instead.
+
     The first request of a document runs when the document is new.  A later
     request of the same document finds the state the first one left, and is
     blocked.  The text work is done once per document, whatever the repeats;
-    requests are then matched to their outcome with a salted join.
+    requests are then matched to their outcome.
     """
     first = batch.groupBy("document_id").agg(
         F.min_by(F.struct("pos", "given_confidence"), "pos").alias("_first")
@@ -153,7 +155,11 @@ def run_batch(
         }
     )
     startable = states.can_transition(F.col("_before"), F.lit(C.PROCESSING))
-    decided = decide_documents(requested.filter(startable), rules, sentinel_is_blank).select(
+    if is_duplicate is None and {"file_hash", *ORDER} <= set(documents.columns):
+        later = repeats(written(keys_of(documents), "keys")).withColumn("_later", F.lit(True))
+        requested = requested.join(later, "doc_id", "left").withColumn("_is_copy", F.col("_later").isNotNull())
+        is_duplicate = "_is_copy"
+    decided = decide_documents(requested.filter(startable), rules, sentinel_is_blank, is_duplicate).select(
         "doc_id",
         "_first_pos",
         "_before",
@@ -183,7 +189,7 @@ def run_batch(
             F.lit(None).cast("string").alias("_reason"),
         )
     )
-    matched = salted_join(batch, outcomes, "document_id", spread_by="pos", how="left")
+    matched = batch.join(outcomes, "document_id", "left")
     ran = F.coalesce(F.col("pos") == F.col("_first_pos"), F.lit(False))
     results = matched.select(
         "pos",
@@ -275,13 +281,14 @@ def batch_counts(results: DataFrame) -> DataFrame:
 
 
 def record_failures(documents: DataFrame, failures: DataFrame) -> Change:
-    """Mark documents whose processing failed: ``failures`` has one row
-    (document_id, pos, error) per document.
+    """Mark documents whose processing failed, by rows (document_id, pos, error); of
+    several rows of a document the last stands.
 
     A document caught in the middle goes back to new.  Any other keeps its
     state.  Both are marked failed and get an audit row; unknown ids do not.
     """
     failed = failures.select(F.col("document_id").alias("doc_id"), "pos", "error")
+    failed = last_change(failed.withColumn("seq", F.col("pos")))
     hit = documents.select("doc_id", "workflow_status").join(failed, "doc_id")
     stuck = F.col("workflow_status") == C.PROCESSING
     changes = hit.select(
@@ -308,8 +315,8 @@ def record_failures(documents: DataFrame, failures: DataFrame) -> Change:
 
 
 def review_requests(decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decisions (document_id, seq, decision, note) as status requests, and the
-    rejections refused because they give no reason."""
+    """Decisions (document_id, seq, decision, note) as status requests, and those
+    refused: rejections that give no reason, and decisions that are none."""
     table = {
         name: F.struct(
             F.lit(action).alias("action"), F.lit(state).alias("new_state"), F.lit(note).alias("note")
@@ -321,21 +328,23 @@ def review_requests(decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
         "_act", F.try_element_at(F.create_map(*pairs), F.col("decision"))
     )
     note = F.coalesce("note", F.lit(""))
-    unreasoned = (F.col("decision") == "reject") & (strip_all(note) == "")
+    unreasoned = F.coalesce((F.col("decision") == "reject") & (strip_all(note) == ""), F.lit(False))
+    unknown = F.col("_act").isNull()
     reason = (
         F.when(F.col("decision") == "approve", F.coalesce(blank_to_null(note), F.col("_act.note")))
         .when(F.col("decision") == "reject", strip_all(note))
         .otherwise(F.col("_act.note"))
     )
-    requests = looked_up.filter(~unreasoned).select(
+    requests = looked_up.filter(~unreasoned & ~unknown).select(
         "document_id",
         "seq",
         F.col("_act.new_state").alias("new_state"),
         F.col("_act.action").alias("action"),
         reason.alias("reason"),
     )
-    refused = looked_up.filter(unreasoned).select(
-        "document_id", "seq", F.lit(C.REJECT_NEEDS_REASON).alias("error")
+    said = F.format_string(C.MSG_DECISION, F.coalesce("decision", F.lit("None")))
+    refused = looked_up.filter(unreasoned | unknown).select(
+        "document_id", "seq", F.when(unreasoned, C.REJECT_NEEDS_REASON).otherwise(said).alias("error")
     )
     return requests, refused
 

@@ -50,7 +50,7 @@ SELECT CAST(o_orderkey * 3 AS BIGINT) AS doc_id,
        CASE o_orderkey % 10
          WHEN 0 THEN 'INVOICE' || chr(10) || 'Company: Client ' || CAST(o_custkey AS STRING) || ' Trading' || chr(10)
               || 'Invoice Number: INV-' || CAST(o_orderkey AS STRING) || chr(10)
-              || 'Date: ' || substr(CAST(o_orderdate AS STRING), 1, 10) || chr(10) || 'Payment terms: net 15 days.'
+              || 'Date: ' || substr(CAST(o_orderdate AS STRING), 1, 10) || chr(10) || 'Settled by direct debit on delivery.'
          WHEN 1 THEN 'TAX INVOICE' || chr(10) || 'Company Name: Client ' || CAST(o_custkey AS STRING) || ' Ltd' || chr(10)
               || 'Invoice No. INV-' || CAST(o_orderkey AS STRING) || chr(10)
               || 'Date: ' || substr(CAST(o_orderdate AS STRING), 9, 2) || '/' || substr(CAST(o_orderdate AS STRING), 6, 2)
@@ -70,7 +70,7 @@ SELECT CAST(o_orderkey * 3 AS BIGINT) AS doc_id,
               || 'Grand Total: PKR ' || CAST(o_orderkey % 900 + 100 AS STRING) || ','
               || lpad(CAST(o_custkey % 1000 AS STRING), 3, '0')
          WHEN 5 THEN 'INVOICE' || chr(10) || 'Company: Client ' || CAST(o_custkey AS STRING) || ' Logistics' || chr(10)
-              || 'Invoice #: GLX-' || CAST(o_orderkey AS STRING) || chr(10)
+              || 'Invoice #: QW-' || CAST(o_orderkey AS STRING) || chr(10)
               || 'Date: ' || substr(CAST(o_orderdate AS STRING), 1, 10) || chr(10)
               || 'Amount Due: $$' || CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING)
          WHEN 6 THEN '  INVOICE ' || chr(13) || chr(10) || chr(9) || 'Company:   Client' || chr(9) || chr(9)
@@ -87,7 +87,7 @@ SELECT CAST(o_orderkey * 3 AS BIGINT) AS doc_id,
               || 'Date: ' || substr(CAST(o_orderdate AS STRING), 1, 10) || chr(10)
               || 'Bill To: ' || o_orderpriority || chr(10)
               || 'Total Amount: $$' || CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) || chr(10)
-              || 'Payment due within 30 days.'
+              || 'Kept on file at the counter.'
        END AS text
 FROM $orders
 UNION ALL
@@ -147,7 +147,7 @@ SELECT CAST(o_orderkey * 3 AS BIGINT) AS doc_id,
        CASE o_orderstatus WHEN 'F' THEN 'Processed' WHEN 'O' THEN 'Needs Review' ELSE 'Failed' END AS status,
        CASE o_orderkey % 12
          WHEN 1 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"' || substr(CAST(o_orderdate AS STRING), 1, 10) || '","Total Amount":"$$1,250.50"}'
-         WHEN 2 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"31st Feb maybe","Company Name":"Acme Ltd","Total Amount":"$$1,250.50"}'
+         WHEN 2 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"' || CASE WHEN o_orderkey % 24 = 2 THEN '01/02/0000' ELSE '31st Feb maybe' END || '","Company Name":"Acme Ltd","Total Amount":"$$1,250.50"}'
          WHEN 3 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"12/03/2026","Company Name":"Acme Ltd","Total Amount":"abc"}'
          WHEN 4 THEN '{" invoice no ":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"5 March 2026","Vendor":"House ' || CAST(o_custkey AS STRING) || '","Amount":"PKR 5,000"}'
          WHEN 5 THEN '{"Company":"First","invoice_id":"INV-' || CAST(o_orderkey AS STRING) || '","date":"Feb 29, 2025","vendor":"Second ' || CAST(o_custkey AS STRING) || '","total":"-4.50"}'
@@ -155,7 +155,7 @@ SELECT CAST(o_orderkey * 3 AS BIGINT) AS doc_id,
          WHEN 7 THEN 'not json {'
          WHEN 8 THEN '["a","b"]'
          WHEN 9 THEN CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE NULL END
-         WHEN 10 THEN '{"Invoice Number":"  ","Date":"","Company Name":" ","Total Amount":null}'
+         WHEN 10 THEN '{"Invoice Number":"  ","Date":"","Company Name":"' || chr(160) || '","Total Amount":null}'
          WHEN 11 THEN CASE WHEN o_orderkey % 5 = 1 THEN '{"Invoice Number":"Not Found","Date":"Not Found"}' ELSE '' END
                    || CASE WHEN o_orderkey % 5 = 1 THEN '' ELSE '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"01/02/26","Company Name":"Not Found","Total Amount":"Rs. 500"}' END
          ELSE '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"' || substr(CAST(o_orderdate AS STRING), 1, 10) || '","Company Name":"Client ' || CAST(o_custkey AS STRING) || '","Total Amount":"' || CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) || '"}'
@@ -199,9 +199,10 @@ SELECT CAST(doc_id * 3 + 2 AS BIGINT), source || '-' || lang || '_' || CAST(doc_
 FROM $documents
 """
 
-# Change requests and audit rows on documents, from the event log.
+# Change requests and audit rows on documents, from the event log; some requests name
+# no stored document.
 WF_EVENTS = """
-SELECT user_id AS document_id, event_id AS seq,
+SELECT CASE WHEN event_id % 97 = 5 THEN 5000000000 + user_id ELSE user_id END AS document_id, event_id AS seq,
        CASE event_type WHEN 'view' THEN 'Processing' WHEN 'click' THEN 'Needs Review'
             WHEN 'purchase' THEN 'Approved' WHEN 'error' THEN 'Rejected'
             ELSE CASE WHEN value < 4 THEN 'Completed' ELSE 'New' END END AS requested_state
@@ -233,12 +234,13 @@ SELECT o_orderkey AS pos,
 FROM $orders
 """
 
-# Review decisions, some without a reason.
+# Review decisions, some without a reason, some that are none.
 DECISIONS = """
 SELECT o_orderkey AS seq,
        CASE WHEN o_orderkey % 4 = 0 THEN o_custkey * 3 + 1 ELSE (o_orderkey - o_orderkey % 3) * 3 END AS document_id,
-       CASE o_orderpriority WHEN '1-URGENT' THEN 'approve' WHEN '2-HIGH' THEN 'reject'
-            WHEN '3-MEDIUM' THEN 'complete' WHEN '5-LOW' THEN 'resubmit' ELSE 'approve' END AS decision,
+       CASE WHEN o_orderkey % 11 = 3 THEN NULL WHEN o_orderkey % 13 = 4 THEN 'postpone'
+            ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'approve' WHEN '2-HIGH' THEN 'reject'
+            WHEN '3-MEDIUM' THEN 'complete' WHEN '5-LOW' THEN 'resubmit' ELSE 'approve' END END AS decision,
        CASE o_orderkey % 3 WHEN 0 THEN '  ' WHEN 1 THEN ' checked by hand ' ELSE NULL END AS note
 FROM $orders
 """

