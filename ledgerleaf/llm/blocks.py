@@ -65,11 +65,11 @@ def spanning(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarra
 
 
 def blocked_links(
-    members: DataFrame, bucket: str, match: Callable[[Columns, Columns], np.ndarray], block: int = BLOCK, every_pair: bool = True
+    members: DataFrame, bucket: str, match: Callable[[Columns, Columns, np.ndarray], np.ndarray], block: int = BLOCK, every_pair: bool = True
 ) -> DataFrame:
     """Distinct links (a < b) of ``node`` that ``match`` accepts inside a bucket.
 
-    ``match(left, right)`` returns a boolean matrix.  The members of a bucket are dealt
+    ``match(left, right, asked)`` returns which pairs of the boolean matrix ``asked`` link.  The members of a bucket are dealt
     over blocks by a hash, and each pair of blocks is a group of its own: a bucket of m
     members becomes about (m / block)^2 / 2 groups, which spread over tasks.  Accepted
     pairs leave a task, or, without ``every_pair``, only as many links as connect them.
@@ -89,8 +89,8 @@ def blocked_links(
             a, b = left["node"], right["node"]
             if not len(a) or not len(b):
                 continue
-            found = match(left, right)
-            found &= (a[:, None] < b[None, :]) if i == j else (a[:, None] != b[None, :])
+            asked = (a[:, None] < b[None, :]) if i == j else (a[:, None] != b[None, :])
+            found = match(left, right, asked)
             if every_pair:
                 x, y = np.nonzero(found)
                 first, second = np.minimum(a[x], b[y]), np.maximum(a[x], b[y])

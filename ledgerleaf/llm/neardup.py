@@ -194,9 +194,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 def _likely(percent: int, coordinates: int):
     """Pairs of different components whose sizes and sketches allow the threshold."""
 
-    def match(left: Columns, right: Columns) -> np.ndarray:
+    def match(left: Columns, right: Columns, asked: np.ndarray) -> np.ndarray:
         n, m = left["n"][:, None], right["n"][None, :]
-        ok = np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
+        ok = asked & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
         ok &= left["component"][:, None] != right["component"][None, :]
         if not ok.any():
             return ok
@@ -225,8 +225,8 @@ def _linked(percent: int, size: int, coordinates: int):
     """Of the likely pairs those that meet the threshold on their full sets."""
     likely = _likely(percent, coordinates)
 
-    def match(left: Columns, right: Columns) -> np.ndarray:
-        ok = likely(left, right)
+    def match(left: Columns, right: Columns, asked: np.ndarray) -> np.ndarray:
+        ok = likely(left, right, asked)
         sets: list[dict[int, set]] = [{}, {}]
 
         def of(side: int, columns: Columns, k: int) -> set:

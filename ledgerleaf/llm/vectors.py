@@ -147,10 +147,10 @@ def _hashed(lsh: CrossPolytope, dims: int, probes: int):
 
 
 def _near(cosine: float, dims: int):
-    def match(left: Columns, right: Columns) -> np.ndarray:
+    def match(left: Columns, right: Columns, asked: np.ndarray) -> np.ndarray:
         a = np.frombuffer(b"".join(left["unit"]), np.float64).reshape(-1, dims)
         b = np.frombuffer(b"".join(right["unit"]), np.float64).reshape(-1, dims)
-        return (a @ b.T >= cosine) & (left["home"][:, None] | right["home"][None, :])
+        return asked & (a @ b.T >= cosine) & (left["home"][:, None] | right["home"][None, :])
 
     return match
 
