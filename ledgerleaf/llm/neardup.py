@@ -200,8 +200,8 @@ def _likely(percent: int, coordinates: int):
         ok &= left["component"][:, None] != right["component"][None, :]
         if not ok.any():
             return ok
-        a = np.frombuffer(b"".join(left["low"]), np.uint8).reshape(len(left), coordinates)
-        b = np.frombuffer(b"".join(right["low"]), np.uint8).reshape(len(right), coordinates)
+        a = np.frombuffer(b"".join(left["low"]), np.uint8).reshape(-1, coordinates)
+        b = np.frombuffer(b"".join(right["low"]), np.uint8).reshape(-1, coordinates)
         least = (percent / 100 - MARGIN) * coordinates
         for i in np.flatnonzero(ok.any(axis=1)):
             at = np.flatnonzero(ok[i])

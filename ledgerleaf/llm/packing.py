@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -11,16 +12,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.tools import batches, doc_rows, text_bytes
+from ledgerleaf.llm.tools import batches, doc_rows, kept_by_worker, text_bytes
 from ledgerleaf.session import written
 
 WINDOW = 2048
 END_ID = 1
 K1, B = 1.2, 0.75
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 SHARD_ROWS = 1 << 13
 SLICE_BYTES = 4 << 20
-CACHED_WORDS = 200_000
+CACHED_WORDS = 1_000_000
+# The fixed rule by which the tokenizer splits a text into pieces.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CONTROLS = bytes([*range(9), *range(14, 32), 127])
+# UTF-8 of: capital sigma, dotted capital I, blanks and marks beyond ASCII.
+ODD_BYTES = (b"\xce\xa3", b"\xc4\xb0", b"\xe1\x9a\x80", b"\xe1\xa0\x8e", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80", b"\xef\xbb\xbf")
 
 ENCODED = "doc_id long, doc_tokens long, windows array<long>, tail binary, theme long"
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -33,49 +39,92 @@ def tokenizer_path() -> str:
 
 
 class WordEncoder:
-    """Ids of whole texts by a tokenizer that drops white space and joins nothing over it.
-
-    Each part between ASCII blanks is encoded once and remembered, so a text costs a
-    lookup for each part.  Strings of special tokens count as ordinary text.
+    """Ids of whole texts by the tokenizer's own model, each different word once.
+
+    The tokenizer lower-cases, drops white space and splits the rest into pieces (letters,
+    one digit, or other characters) that its model encodes one by one.  Words between
+    ASCII blanks are split into pieces here by the same rule, so only pieces not met
+    before go to the model.  Texts with characters on which libraries may disagree
+    (controls, blanks beyond ASCII, letters whose lower case depends on their place) go
+    through the tokenizer as a whole.  Strings of special tokens count as ordinary text.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.pieces = regex.compile(PIECES).findall
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [x for x in range(256) if x not in set(printable)]
+        self.spelling = {x: 256 + i for i, x in enumerate(others)}
         self._clear()
 
     def _clear(self):
-        self.known, self.starts, self.lengths, self.flat, self.size = {}, np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+        self.known, self.size = {}, 0
+        self.piece_ids: dict[str, list[int]] = {}
+        self.starts, self.lengths, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def _ids_of(self, piece: str) -> list[int]:
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.spelling)
+        ids = self.piece_ids[piece] = [t.id for t in self.model.tokenize(spelled)]
+        return ids
 
     def _learn(self, new: list[bytes]):
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        ids: list[int] = []
+        ends = []
+        known, learn, pieces = self.piece_ids, self._ids_of, self.pieces
+        for word in new:
+            text = word.decode("utf-8", "replace")
+            if not text.isascii():
+                text = unicodedata.normalize("NFC", text).lower()
+            if text.isalpha() and "'" not in text:
+                ids += known.get(text) or learn(text)
+            else:
+                for piece in pieces(text):
+                    ids += known.get(piece) or learn(piece)
+            ends.append(len(ids))
+        ends = np.array(ends, np.int64)
+        lengths = np.diff(ends, prepend=0)
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.starts = np.concatenate([self.starts, self.size + np.cumsum(lengths) - lengths])
+        self.starts = np.concatenate([self.starts, self.size + ends - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat.append(np.fromiter((i for part in ids for i in part), np.uint32, int(lengths.sum())))
-        self.size += int(lengths.sum())
+        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+        self.size += len(ids)
+
+    @staticmethod
+    def odd(data: bytes) -> bool:
+        if len(data.translate(None, CONTROLS)) != len(data):
+            return True
+        return not data.isascii() and (any(x in data for x in ODD_BYTES) or (b"\xc2" in data and any(bytes((0xC2, x)) in data for x in range(0x80, 0xA1))))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > CACHED_WORDS:
             self._clear()
-        split = [t.split() for t in texts]
-        new = {w for parts in split for w in parts}.difference(self.known)
+        out: list = [None] * len(texts)
+        found, counts, at = [], [], []
+        for k, data in enumerate(texts):
+            if self.odd(data):
+                whole = self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False)
+                out[k] = np.array(whole.ids, np.uint32)
+            else:
+                parts = data.lower().split()
+                found += parts
+                counts.append(len(parts))
+                at.append(k)
+        new = set(found).difference(self.known)
         if new:
             self._learn(list(new))
-            self.flat = [np.concatenate(self.flat)]
-        out = []
-        for parts in split:
-            at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-            lengths = self.lengths[at]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            pick = np.arange(total) + np.repeat(self.starts[at] - ends + lengths, lengths)
-            out.append(self.flat[0][pick] if total else np.empty(0, np.uint32))
+        where = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+        lengths = self.lengths[where]
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.starts[where] - ends[:-1], lengths)]
+        bounds = ends[np.concatenate((np.zeros(1, np.int64), np.cumsum(counts, dtype=np.int64)))]
+        for k, a, b in zip(at, bounds[:-1], bounds[1:]):
+            out[k] = ids[a:b]
         return out
 
 
@@ -92,12 +141,12 @@ def crc_of(ids: np.ndarray) -> int:
 
 def _theme(ids: np.ndarray) -> int:
     """The least of the hashed ids: texts share it as often as they share ids."""
-    return int((np.unique(ids).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16)).min())
+    return int((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16)).min())
 
 
 def _encoded(path: str, stored: str, window: int, end_id: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = kept_by_worker(("words", path), lambda: WordEncoder(path))
         for batch in batches(stream, SLICE_BYTES):
             counts, windows, tails, themes = [], [], [], []
             for ids in encoder.encode(batch.column("text_utf8").to_pylist()):

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -63,6 +66,19 @@ def words(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
+def kept_by_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once in a Python worker and kept for its later tasks.
+
+    Functions travel by value, so their own globals are new in every task; a module of
+    the worker is not.
+    """
+    holder = sys.modules.setdefault("_ledgerleaf_worker", types.ModuleType("_ledgerleaf_worker"))
+    found = holder.__dict__.setdefault("kept", {})
+    if key not in found:
+        found[key] = make()
+    return found[key]
+
+
 def batches(stream: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most_bytes``, one row at least."""
     for batch in stream:

@@ -123,6 +123,22 @@ def test_near_duplicates_that_miss_their_buckets_first(spark):
     assert {r.doc_id: r.component_id for r in found} == label
 
 
+def test_near_duplicates_around_the_threshold(spark):
+    """Copies so far apart that many pairs miss the threshold closely."""
+    rng = np.random.default_rng(6)
+    base, rows_ = prose(21, 300).split(), []
+    for i in range(60):
+        text = list(base)
+        for k in rng.choice(300, 6, replace=False):
+            text[k] = f"v{i}x{k}"
+        rows_.append((i, " ".join(text)))
+    sets = {i: set(zip(*(t.split()[k:] for k in range(5)))) for i, t in rows_}
+    links = [(i, j) for i, j in itertools.combinations(sets, 2) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert 0 < len(links) < 800
+    found = neardup.op8_near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == clusters(list(sets), links)
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(1)
     common, own = rng.integers(0, 1 << 62, 600, dtype=np.uint64), rng.integers(0, 1 << 62, (2, 100), dtype=np.uint64)
