@@ -21,7 +21,7 @@ K1, B = 1.2, 0.75
 SHARD_TOKENS = 1 << 19
 SHARD_ROWS = 1 << 13
 SLICE_BYTES = 4 << 20
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 700_000
 # The fixed rule by which the tokenizer splits a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CONTROLS = bytes([*range(9), *range(14, 32), 127])
@@ -184,19 +184,19 @@ def _document_counts(stored: str):
 class Index:
     """BM25 inverted index of one shard."""
 
-    def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        self.terms = [np.unique(t, return_counts=True) for t in tails]
-        sizes = np.fromiter((len(t) for t, _ in self.terms), np.int64, len(tails))
-        token = np.concatenate([t for t, _ in self.terms])
-        tf = np.concatenate([c for _, c in self.terms]).astype(np.float64)
-        doc = np.repeat(np.arange(len(tails)), sizes)
-        scale = K1 * (1 - B + B * np.fromiter(map(len, tails), np.float64, len(tails)) / mean_length)
+    def __init__(self, terms: list[tuple[np.ndarray, np.ndarray]], lengths: np.ndarray, idf: np.ndarray, mean_length: float):
+        self.terms = terms
+        sizes = np.fromiter((len(t) for t, _ in terms), np.int64, len(terms))
+        token = np.concatenate([t for t, _ in terms])
+        tf = np.concatenate([c for _, c in terms]).astype(np.float64)
+        doc = np.repeat(np.arange(len(terms)), sizes)
+        scale = K1 * (1 - B + B * lengths / mean_length)
         weight = idf[token] * tf * (K1 + 1) / (tf + scale[doc])
         useful = weight > 0
         order = np.argsort(token[useful], kind="stable")
         self.doc, self.weight = doc[useful][order], weight[useful][order]
         self.ends = np.cumsum(np.bincount(token[useful], minlength=len(idf)))
-        self.n = len(tails)
+        self.n = len(terms)
 
     def scores(self, seed: int) -> np.ndarray:
         terms = self.terms[seed][0]
@@ -216,28 +216,21 @@ def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean_length: float, w
     rest is the next seed.  A short window at the end is cut at powers of two.
     """
     left = [i for i, t in enumerate(tails) if len(t)]
+    terms = [np.unique(t, return_counts=True) for t in tails]
     begun = np.zeros(len(tails), np.int64)
     lengths = np.fromiter(map(len, tails), np.int64, len(tails))
     seed = None
     while left:
-        index = Index([tails[i] for i in left], idf, mean_length)
+        index = Index([terms[i] for i in left], lengths[left], idf, mean_length)
         row = np.array(left)
         unused = np.ones(len(row), bool)
         at = 0 if seed is None else int(np.flatnonzero(row == seed)[0])
         seed = None
-        keep_until = len(row) // 2
+        n_unused, keep_until = len(row), len(row) // 2
         # Half-used indexes are built anew, so that postings of used tails stay few.
-        while unused.sum() > keep_until:
-            order = [at]
-            if lengths[row[at]] - begun[row[at]] < window:
-                scores = index.scores(at)
-                scores[~unused] = -1
-                scores[at] = -1
-                order += np.argsort(-scores, kind="stable").tolist()
+        while n_unused > keep_until:
             room, filled, seed = window, [], None
-            for k in order:
-                if not unused[k]:
-                    continue
+            for k in _in_order(index, at, unused):
                 r = row[k]
                 take = int(min(room, lengths[r] - begun[r]))
                 filled.append((int(r), int(begun[r]), take))
@@ -245,21 +238,36 @@ def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean_length: float, w
                 room -= take
                 if begun[r] == lengths[r]:
                     unused[k] = False
+                    n_unused -= 1
                 else:
-                    seed = int(r)
+                    seed, at = int(r), k
                 if not room:
                     break
             if room:
                 yield from _powers_of_two(filled)
             else:
                 yield filled
-            if seed is not None:
-                at = int(np.flatnonzero(row == seed)[0])
-            elif unused.any():
+            if seed is None and n_unused:
                 at = int(np.argmax(unused))
         left = row[unused].tolist()
 
 
+def _in_order(index: Index, seed: int, unused: np.ndarray, first: int = 16) -> Iterator[int]:
+    """The seed, then the unused tails from the best score down; the few best are sorted first."""
+    yield seed
+    scores = index.scores(seed)
+    scores[~unused] = -1
+    scores[seed] = -1
+    rest = int((scores >= 0).sum())
+    if rest > 2 * first:
+        best = np.argpartition(-scores, first)[: first + 1]
+        best = best[np.lexsort((best, -scores[best]))]
+        yield from best.tolist()
+        scores[best] = -1
+        rest -= len(best)
+    yield from np.argsort(-scores, kind="stable")[:rest].tolist()
+
+
 def _powers_of_two(pieces: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
     rest = sum(p[2] for p in pieces)
     stack = pieces[::-1]
