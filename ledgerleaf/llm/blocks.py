@@ -50,12 +50,12 @@ def groups(stream: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[Column
 
 def spanning(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what the matrix ``found`` connects, one for each node at most."""
-    least = np.iinfo(np.int64).max
     rows, columns = found.any(axis=1), found.any(axis=0)
     part, of_a, of_b = found[rows][:, columns], a[rows].copy(), b[columns].copy()
+    turned = np.ascontiguousarray(part.T)
     while part.size:
-        x = np.minimum(of_a, np.where(part, of_b[None, :], least).min(axis=1))
-        y = np.minimum(of_b, np.where(part, x[:, None], least).min(axis=0))
+        x = np.array([min(own, of_b[line].min()) for own, line in zip(of_a, part)])
+        y = np.array([min(own, x[line].min()) for own, line in zip(of_b, turned)])
         if (x == of_a).all() and (y == of_b).all():
             break
         of_a, of_b = x, y

@@ -195,18 +195,18 @@ def _likely(percent: int, coordinates: int):
     """Pairs of different components whose sizes and sketches allow the threshold."""
 
     def match(left: Columns, right: Columns, asked: np.ndarray) -> np.ndarray:
-        n, m = left["n"][:, None], right["n"][None, :]
-        ok = asked & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
-        ok &= left["component"][:, None] != right["component"][None, :]
-        if not ok.any():
-            return ok
+        # Row by row: of the matrices only the asked one is ever whole.
+        n, m = left["n"], right["n"]
         a = np.frombuffer(b"".join(left["low"]), np.uint8).reshape(-1, coordinates)
         b = np.frombuffer(b"".join(right["low"]), np.uint8).reshape(-1, coordinates)
         least = (percent / 100 - MARGIN) * coordinates
-        for i in np.flatnonzero(ok.any(axis=1)):
-            at = np.flatnonzero(ok[i])
-            ok[i, at] = (b[at] == a[i]).sum(axis=1) >= least
-        return ok
+        for i in range(len(asked)):
+            row = asked[i] & (np.minimum(n[i], m) * 100 >= np.maximum(n[i], m) * percent)
+            at = np.flatnonzero(row & (right["component"] != left["component"][i]))
+            asked[i] = False
+            if len(at):
+                asked[i, at] = np.count_nonzero(b[at] == a[i], axis=1) >= least
+        return asked
 
     return match
 
