@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -109,26 +110,31 @@ def tables_needed(dims: int, functions: int, probes: int, cosine: float, miss: f
     return max(1, math.ceil(math.log(miss) / math.log(1 - p)))
 
 
-def _units(dims: int):
-    """Each vector scaled to length 1 and a digest of its components; nulls if it cannot link."""
+def unit(vector: list | None) -> np.ndarray | None:
+    """The vector scaled to length 1, None if it cannot link.
 
-    def unit(vector) -> np.ndarray | None:
-        if vector is None or len(vector) != dims or any(v is None for v in vector):
-            return None
-        x = np.array(vector, np.float64)
-        norm = np.linalg.norm(x)
-        return x / norm if np.isfinite(x).all() and np.isfinite(norm) and norm > 0 else None
-
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            labels = batch.column("label").to_pylist()
-            vectors = batch.column("embedding").to_pylist()
-            units = [None if label is None else unit(v) for label, v in zip(labels, vectors)]
-            keys = [None if u is None else hashlib.md5(np.array(v, np.float64).tobytes()).digest() for u, v in zip(units, vectors)]
-            bodies = [None if u is None else u.tobytes() for u in units]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(keys, pa.binary()), pa.array(bodies, pa.binary())], ["vec_id", "label", "key", "unit"])
-
-    return run
+    It is scaled by its greatest component first, so that no square over- or underflows;
+    -0.0 becomes 0.0.
+    """
+    if not vector or any(v is None for v in vector):
+        return None
+    x = np.array(vector, np.float64)
+    most = np.abs(x).max()
+    if not (np.isfinite(x).all() and most > 0):
+        return None
+    x = x / most
+    return x / np.linalg.norm(x) + 0.0
+
+
+def _units(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each vector's length, its unit vector and a digest of that; nulls if it cannot link."""
+    for batch in stream:
+        labels = batch.column("label").to_pylist()
+        units = [None if label is None else unit(v) for label, v in zip(labels, batch.column("embedding").to_pylist())]
+        bodies = [None if u is None else u.tobytes() for u in units]
+        keys = [None if u is None else hashlib.md5(u).digest() for u in bodies]
+        dims = pa.array([None if u is None else len(u) for u in units], pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), dims, pa.array(keys, pa.binary()), pa.array(bodies, pa.binary())], ["vec_id", "label", "dims", "key", "unit"])
 
 
 def _hashed(lsh: CrossPolytope, dims: int, probes: int):
@@ -155,32 +161,8 @@ def _near(cosine: float, dims: int):
     return match
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBES, miss: float = MISS, bucket: int = BUCKET) -> DataFrame:
-    """One row per vector: n_links, component_id and kept.
-
-    Vectors are linked if their labels are equal and not null and their cosine, in double
-    precision, is at least ``cosine``.  Null and zero vectors, vectors with a null or
-    non-finite component and vectors of another length than the most frequent one link
-    with nothing.  component_id is the smallest vec_id that links reach, kept marks it.
-    Repeated rows are vectors of their own and count as links of each other; a null
-    vec_id is read as -1.
-
-    Equal vectors of a label are one class with a count; only one of a class is hashed.
-    Each table holds a vector in its own bucket and, as a visitor, in the buckets it
-    nearly fell into; two visitors are not compared there.  The number of hash functions
-    grows with the logarithm of the vectors of a label, and the number of tables is the
-    least whose simulated misses stay under ``miss``.  Buckets are compared in blocks, so
-    a hot bucket spreads over tasks, and only verified pairs leave them.
-    """
-    rows = vectors.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    shape = rows.filter("embedding IS NOT NULL").groupBy(F.size("embedding").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    dims = shape["dims"] if shape and shape["dims"] > 0 else 1
-    units = written(rows.mapInArrow(_units(dims), "vec_id long, label string, key binary, unit binary"), "units")
-    usable = units.filter("key IS NOT NULL")
-    classes = written(usable.groupBy("label", "key").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
-    members = written(usable.join(classes, ["label", "key"]), "members")
-    heads = written(members.filter("vec_id = node").select("node", "label", "unit", "copies").dropDuplicates(["label", "unit"]), "heads")
-
+def _pairs(heads: DataFrame, dims: int, cosine: float, probes: int, miss: float, bucket: int) -> DataFrame:
+    """Links (a < b) of ``node`` among the classes ``heads``, all of ``dims`` components."""
     most = heads.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     functions = max(1, round(math.log(max(1, most / bucket), 2 * axes(dims))))
     lsh = CrossPolytope(dims, tables_needed(dims, functions, probes, cosine, miss), functions)
@@ -188,7 +170,37 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBE
     placed = written(hashed.withColumn("bucket", F.xxhash64("label", "tab", "cell")), "buckets")
     met = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.max("home").alias("lived_in")).filter("n > 1 AND lived_in")
     shared = written(placed.join(met.select("bucket"), "bucket").select("bucket", "node", "label", "unit", "home"), "shared")
-    pairs = written(blocked_links(shared, "bucket", _near(cosine, dims)), "pairs")
+    return written(blocked_links(shared, "bucket", _near(cosine, dims)), "pairs")
+
+
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBES, miss: float = MISS, bucket: int = BUCKET) -> DataFrame:
+    """One row per vector: n_links, component_id and kept.
+
+    Vectors are linked if their labels are equal and not null, they have the same length,
+    and their cosine, in double precision, is at least ``cosine``.  Null, empty and zero
+    vectors and vectors with a null or non-finite component link with nothing.
+    component_id is the smallest vec_id that links reach, kept marks it.  Repeated rows
+    are vectors of their own and count as links of each other; a null vec_id is read as -1.
+
+    Vectors of a label with the same unit vector are one class with a count; only one of
+    a class is hashed, and each length is searched on its own.  Each table holds a vector
+    in its own bucket and, as a visitor, in the buckets it nearly fell into; two visitors
+    are not compared there.  The number of hash functions grows with the logarithm of the
+    vectors of a label, and the number of tables is the least whose simulated misses stay
+    under ``miss``.  Buckets are compared in blocks, so a hot bucket spreads over tasks,
+    and only verified pairs leave them.
+    """
+    rows = vectors.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    units = written(rows.mapInArrow(_units, "vec_id long, label string, dims int, key binary, unit binary"), "units")
+    usable = units.filter("key IS NOT NULL")
+    classes = written(usable.groupBy("label", "dims", "key").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
+    members = written(usable.join(classes, ["label", "dims", "key"]), "members")
+    heads = members.filter("vec_id = node").select("node", "label", "dims", "key", "unit", "copies")
+    heads = written(heads.dropDuplicates(["label", "key", "node"]), "heads")
+
+    lengths = sorted(r["dims"] for r in heads.select("dims").distinct().collect())
+    found = [_pairs(heads.filter(F.col("dims") == n).drop("dims", "key"), n, cosine, probes, miss, bucket) for n in lengths]
+    pairs = reduce(DataFrame.union, found, vectors.sparkSession.createDataFrame([], "a long, b long"))
 
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = heads.select("node", "copies")
