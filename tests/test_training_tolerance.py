@@ -1,0 +1,8 @@
+"""Training runs until it has converged."""
+
+from ledgerleaf.operators import models
+
+
+def test_training_is_not_ended_early(spark):
+    assert models._logistic(10, 1000).getTol() <= 1e-4
+    assert models._svm(10, 1000).getClassifier().getTol() <= 1e-4
