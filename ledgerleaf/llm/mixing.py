@@ -137,11 +137,12 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, share: float
 
 def op7_mix_sources(docs: DataFrame) -> DataFrame:
     rows, pieces = mix(docs)
-    taken = pieces.groupBy("rank", "start").agg(F.sum("words").alias("words"))
+    taken = pieces.groupBy("rank", "start").agg(F.sum("words").alias("words"), F.min("place").alias("first_place"))
     # Rows without words share the start of the next row, and take nothing.
     found = rows.join(taken, ["rank", "start"], "left")
     words = F.when(F.col("size") > 0, F.coalesce("words", F.lit(0))).otherwise(F.lit(0))
-    return found.select("doc_id", "size", "source_size", "target", words.cast("long").alias("taken"))
+    place = F.when(F.col("size") > 0, F.col("first_place")).alias("first_place")
+    return found.select("doc_id", "size", "source_size", "target", words.cast("long").alias("taken"), place)
 
 
 def _cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,14 +165,16 @@ def _cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of the mix with the columns of ``docs``: a document comes as often as it
-    is taken, the last of a source's stream cut after its words; n_chars follows the text."""
+    is taken, the last of a source's stream cut after its words; n_chars follows the text.
+    Rows come in the order of the place in the mix where they begin."""
     rows, pieces = mix(docs)
-    copies = pieces.groupBy("rank", "start", "again").agg(F.sum("words").alias("_words"))
-    plan = rows.filter("size > 0").join(copies, ["rank", "start"]).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_words", (F.col("_words") == F.col("size")).alias("_whole"))
+    copies = pieces.groupBy("rank", "start", "again").agg(F.sum("words").alias("_words"), F.min("place").alias("_place"))
+    plan = rows.filter("size > 0").join(copies, ["rank", "start"]).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_words", "_place", F.col("start").alias("_start"), (F.col("_words") == F.col("size")).alias("_whole"))
     keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64("text", "source"))
     taken = keyed.dropDuplicates(["_id", "_hash"]).join(plan, ["_id", "_hash"]).drop("_id", "_hash")
     cut = taken.filter("NOT _whole").mapInArrow(_cut, taken.schema)
     mixed = taken.filter("_whole").union(cut)
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(docs.columns)
+    order = ("_place", "_start")
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)
