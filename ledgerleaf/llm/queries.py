@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerleaf.llm.divergence import source_divergence
 from ledgerleaf.llm.fingerprint import op10_fingerprints
 from ledgerleaf.llm.lines import op9_line_dedup
 from ledgerleaf.llm.mixing import op7_mix_sources
@@ -38,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": _on_documents(op8_near_duplicates),
     "op9_line_dedup": _on_documents(op9_line_dedup),
     "op10_lz_fingerprints": _on_documents(op10_fingerprints),
+    "op13_source_divergence": _on_documents(source_divergence),
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -60,4 +62,48 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
+    "op13_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   coalesce(text, '') AS text
+            FROM documents),
+        occurrences AS (
+            SELECT row_id, lang, source,
+                   translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+            FROM docs),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM occurrences GROUP BY ALL),
+        kept AS (
+            SELECT lang, term, count(*) AS lang_n FROM occurrences
+            GROUP BY lang, term HAVING count(DISTINCT row_id) >= 10),
+        langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+        groups AS (
+            SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total
+            FROM (SELECT DISTINCT lang, source FROM docs) g
+            LEFT JOIN (SELECT c.* FROM counts c JOIN kept USING (lang, term)) c
+              ON c.lang = g.lang AND c.source = g.source
+            GROUP BY g.lang, g.source),
+        shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                   (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * l.v))::BIGINT AS p,
+                   (1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (l.lang_total + 2 * l.v))::BIGINT AS q
+            FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY ALL),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        terms AS (
+            SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+            FROM shares WHERE n > 0 AND p > q),
+        both_parts AS (
+            SELECT 'pair' AS part, * FROM pairs UNION ALL SELECT 'term' AS part, * FROM terms)
+        SELECT lang, source, part, item, value,
+               row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+        FROM both_parts
+        QUALIFY part = 'pair' OR rank <= 10""",
 }

@@ -90,6 +90,20 @@ def batches(stream: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Re
             yield batch.slice(at, step)
 
 
+def text_slices(stream: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Table]:
+    """The same rows gathered into tables of about ``most_bytes``; a longer row is alone."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches(stream, most_bytes):
+        if held and size + batch.nbytes > most_bytes:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def with_texts(pairs: DataFrame, texts: DataFrame, member: str, hub: str) -> DataFrame:
     """Add ``text_<member>`` and ``text_<hub>`` to pairs of doc_ids.
 
