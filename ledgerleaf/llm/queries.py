@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerleaf.llm.alignment import op11_alignment
 from ledgerleaf.llm.divergence import source_divergence
 from ledgerleaf.llm.fingerprint import op10_fingerprints
 from ledgerleaf.llm.lines import op9_line_dedup
@@ -39,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": _on_documents(op8_near_duplicates),
     "op9_line_dedup": _on_documents(op9_line_dedup),
     "op10_lz_fingerprints": _on_documents(op10_fingerprints),
+    "op11_tokenizer_alignment": _on_documents(op11_alignment),
     "op13_source_divergence": _on_documents(source_divergence),
 }
 
