@@ -15,6 +15,7 @@ from ledgerleaf.llm.neardup import op8_near_duplicates
 from ledgerleaf.llm.packing import op1_pack
 from ledgerleaf.llm.passages import op3_shared_passages
 from ledgerleaf.llm.quality import op2_quality
+from ledgerleaf.llm.scoring import op12_scores
 from ledgerleaf.llm.sharding import op5_shard_documents
 from ledgerleaf.llm.tools import table
 from ledgerleaf.llm.toxicity import op6_toxicity
@@ -41,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": _on_documents(op9_line_dedup),
     "op10_lz_fingerprints": _on_documents(op10_fingerprints),
     "op11_tokenizer_alignment": _on_documents(op11_alignment),
+    "op12_attention_scores": _on_documents(op12_scores),
     "op13_source_divergence": _on_documents(source_divergence),
 }
 

@@ -8,7 +8,9 @@ import types
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +106,30 @@ def text_slices(stream: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[p
         yield pa.Table.from_batches(held)
 
 
+def tree_sum(parts: DataFrame, kind: type, fan_in: int = 64) -> np.ndarray | None:
+    """The sum of equally long arrays, which ``data`` of (part, data) holds zstd-packed;
+    ``fan_in`` of them meet in a task.  None without rows.  The arrays' length must be
+    fixed: one of them reaches the driver."""
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        total = None
+        for data in rows.column("data").to_pylist():
+            values = np.frombuffer(zstandard.decompress(data), kind)
+            total = values.copy() if total is None else total + values
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([zstandard.compress(total.tobytes(), 1)], pa.binary())})
+
+    n = parts.count()
+    if not n:
+        return None
+    bucket = F.xxhash64("part")
+    while True:
+        n = -(-n // fan_in)
+        parts = parts.withColumn("part", F.pmod(bucket, F.lit(n))).groupBy("part").applyInArrow(add, "part long, data binary")
+        if n == 1:
+            return np.frombuffer(zstandard.decompress(parts.first()["data"]), kind)
+        bucket = F.col("part")
+
+
 def with_texts(pairs: DataFrame, texts: DataFrame, member: str, hub: str) -> DataFrame:
     """Add ``text_<member>`` and ``text_<hub>`` to pairs of doc_ids.
 
