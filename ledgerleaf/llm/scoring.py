@@ -117,11 +117,6 @@ def _sliced(ranks: str, slice_bytes: int):
     return run
 
 
-def _ids(data: bytes, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    raw = zstandard.decompress(data)
-    return np.frombuffer(raw, np.int64, n_docs), np.frombuffer(raw, np.uint32, offset=8 * n_docs).astype(np.int64)
-
-
 def _chosen(doc_ids: np.ndarray, sizes: np.ndarray, one_of: int) -> np.ndarray:
     """Which windows of the documents teach: one of so many, by a hash of document and place."""
     n = -(-sizes // attention.STEP)
