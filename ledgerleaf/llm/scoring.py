@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.llm import attention
 from ledgerleaf.llm.tools import doc_rows, kept_by_worker, text_bytes, text_slices, tree_sum, words
-from ledgerleaf.operators.skew import salted_join, salts
 from ledgerleaf.session import written
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -34,7 +34,9 @@ WINDOWS_PER_LEARNER = 8192
 ROUNDS = 3
 RATE = 0.01
 
-SLICES = "slice long, doc_ids binary, held binary, n_train long, entries binary, ids binary, at int, word binary, id int, n long"
+WORDS_PER_SHARD = 1 << 20
+
+SLICES = "slice long, doc_ids binary, held binary, n_words binary, n_train long, n_distinct long, places binary, words binary, word_ids binary, id_counts binary"
 
 
 def held_out(doc_id: Column) -> Column:
@@ -75,12 +77,11 @@ def _unpack(data: bytes, kind) -> np.ndarray:
 
 
 def _sliced(ranks: str, slice_bytes: int):
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(f.split()[0], {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[f.split()[1]]) for f in SLICES.split(", ")])
-
-        def rows(size: int, /, **columns) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+    """Documents in slices: the distinct words of a slice, their subword ids, and for each
+    document the places of its words among them."""
 
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in SLICES.split(", ")]
         number = TaskContext.get().partitionId() << 32
         for table in text_slices(stream, slice_bytes):
             subwords = kept_by_worker(("subwords", ranks), lambda: Subwords(ranks))
@@ -89,34 +90,58 @@ def _sliced(ranks: str, slice_bytes: int):
             n_words = np.fromiter(map(len, own), np.int64, len(own))
             flat = pa.array([w for doc in own for w in doc], pa.binary()).dictionary_encode()
             del own
-            found, at = flat.dictionary, flat.indices.to_numpy().astype(np.int64)
-            doc = np.repeat(np.arange(len(n_words)), n_words)
-            width = max(1, len(found))
-            pairs, n = np.unique(doc * width + at, return_counts=True)
-            n_entries = np.bincount(pairs // width, minlength=len(n_words))
-            entries = _pack(n_words, n_entries, (pairs % width).astype(np.int64), n.astype(np.int64))
-            ids, sizes = subwords.of_words(found.to_pylist())
-            # The ids of a document's words in turn, and its end.
-            lengths = np.insert(sizes[at], np.cumsum(n_words), 1)
-            starts = np.insert((np.cumsum(sizes) - sizes)[at], np.cumsum(n_words), len(ids))
-            whole = np.append(ids, subwords.end)[spread(starts, lengths)]
-            n_ids = np.bincount(doc, sizes[at], len(n_words)).astype(np.int64) + 1
-            train = np.bincount(at[~held[doc]], minlength=len(found))
-            yield rows(
-                1, slice=[number], doc_ids=[table.column("doc_id").to_numpy().astype(np.int64).tobytes()], held=[held.tobytes()],
-                n_train=[int((~held).sum())], entries=[entries], ids=[_pack(n_ids, whole.astype(np.uint32))],
-            )
-            if len(found):
-                yield rows(len(found), slice=np.full(len(found), number), at=np.arange(len(found)), word=found, n=train)
-            counts = np.bincount(whole[~np.repeat(held, n_ids)])
-            seen = np.flatnonzero(counts)
-            if len(seen):
-                yield rows(len(seen), slice=np.full(len(seen), number), id=seen, n=counts[seen])
+            found, place = flat.dictionary.to_pylist(), flat.indices.to_numpy()
+            ids, sizes = subwords.of_words(found)
+            train = np.bincount(place[~np.repeat(held, n_words)], minlength=len(found))
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            row = [
+                number,
+                table.column("doc_id").to_numpy().astype(np.int64).tobytes(),
+                held.tobytes(),
+                n_words.tobytes(),
+                int((~held).sum()),
+                len(found),
+                _pack(place.astype(np.uint32)),
+                zstandard.compress(np.stack([lengths, train]).astype(np.uint32).tobytes() + b"".join(found), 3),
+                _pack(sizes.astype(np.uint32), ids.astype(np.uint32)),
+                _pack(np.bincount(ids, np.repeat(train, sizes), subwords.end + 1).astype(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if isinstance(v, int) else pa.binary()) for v in row], names)
             number += 1
 
     return run
 
 
+class Slice:
+    """The documents of a slice as ids, from its row: ``sizes`` ids each, an end among them."""
+
+    def __init__(self, n_words: bytes, places: bytes, word_ids: bytes, n_distinct: int, end: int):
+        n_words, place = np.frombuffer(n_words, np.int64), _unpack(places, np.uint32).astype(np.int64)
+        word_ids = _unpack(word_ids, np.uint32).astype(np.int64)
+        sizes, ids = word_ids[:n_distinct], np.append(word_ids[n_distinct:], end)
+        ends = np.cumsum(n_words)
+        lengths = np.insert(sizes[place], ends, 1)
+        starts = np.insert((np.cumsum(sizes) - sizes)[place], ends, len(ids) - 1)
+        self.ids = ids[spread(starts, lengths)]
+        total = np.concatenate(([0], np.cumsum(sizes[place])))
+        self.sizes = np.diff(total[ends], prepend=0) + 1
+
+
+SLICE_COLUMNS = ["n_words", "places", "word_ids", "n_distinct"]
+
+
+def _slice_words(data: bytes, n: int) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of a slice, and how often its training documents hold each."""
+    raw = zstandard.decompress(data)
+    lengths, train = np.frombuffer(raw, np.uint32, 2 * n).reshape(2, n)
+    offsets = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw[8 * n :])]), train
+
+
+def _shards(found: pa.Array, shards: int) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in found.to_pylist()), np.int64, len(found))
+
+
 def _chosen(doc_ids: np.ndarray, sizes: np.ndarray, one_of: int) -> np.ndarray:
     """Which windows of the documents teach: one of so many, by a hash of document and place."""
     n = -(-sizes // attention.STEP)
@@ -148,27 +173,62 @@ class CorpusModel:
         rows = doc_rows(docs, text_bytes().alias("text_utf8"))
         rows = rows.withColumn("held_out", held_out(F.col("doc_id")))
         self.slices = written(rows.mapInArrow(_sliced(ranks, slice_bytes), SLICES), "slices")
-        self.packed = self.slices.filter("doc_ids IS NOT NULL")
         self._count_words()
         self.counts = self._count_neighbours(one_window_of)
         self.parameters = self._learn(windows_per_learner, rounds, rate)
 
     def _count_words(self) -> None:
-        """``words``: (word, n, slices) of all distinct words, held-out ones with n = 0."""
-        named = self.slices.filter("word IS NOT NULL").select("slice", "at", "word", "n")
-        self.named = named
-        self.words = written(named.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("slices")), "words")
-        total, distinct = self.words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-        self.ends = self.packed.agg(F.coalesce(F.sum("n_train"), F.lit(0))).first()[0]
+        """``answers``: (slice, shard, counts): for the words of a slice that belong to a
+        shard, in their order, how often the training documents of the corpus hold them.
+
+        A word meets its shard with one row per slice, however often it occurs; the
+        shards are as many as keep the words that meet in one about equally many.
+        """
+        zero = F.lit(0)
+        self.ends, n_distinct = self.slices.agg(F.coalesce(F.sum("n_train"), zero), F.coalesce(F.sum("n_distinct"), zero)).first()
+        self.shards = shards = max(1, -(-n_distinct // WORDS_PER_SHARD))
+
+        def deal(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in stream:
+                for number, data, n in zip(*(batch.column(c).to_pylist() for c in ("slice", "words", "n_distinct"))):
+                    found, train = _slice_words(data, n)
+                    shard = _shards(found, shards)
+                    order = np.argsort(shard, kind="stable")
+                    starts = np.searchsorted(shard[order], np.arange(shards + 1))
+                    found, train = found.take(pa.array(order)).to_pylist(), train[order]
+                    full = np.flatnonzero(np.diff(starts)).tolist()
+                    blobs, sizes = [], []
+                    for k in full:
+                        own = found[starts[k] : starts[k + 1]]
+                        lengths = np.fromiter(map(len, own), np.uint32, len(own))
+                        blobs.append(zstandard.compress(lengths.tobytes() + train[starts[k] : starts[k + 1]].tobytes() + b"".join(own), 3))
+                        sizes.append(len(own))
+                    yield pa.RecordBatch.from_arrays([pa.array([number] * len(full), pa.int64()), pa.array(full, pa.int64()), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], ["slice", "shard", "n", "words"])
+
+        def count(key: tuple, rows: pa.Table) -> pa.Table:
+            parts = [_slice_words(data, n) for data, n in zip(rows.column("words").to_pylist(), rows.column("n").to_pylist())]
+            coded = pa.chunked_array([found for found, _ in parts], pa.binary()).combine_chunks().dictionary_encode()
+            code, train = coded.indices.to_numpy(), np.concatenate([t for _, t in parts]).astype(np.int64)
+            total = np.bincount(code, train, len(coded.dictionary)).astype(np.int64)
+            bounds = np.cumsum([0, *(len(found) for found, _ in parts)])
+            answers = [_pack(total[code[i:j]]) for i, j in zip(bounds[:-1], bounds[1:])]
+            # The shard's sums stand in its first row.
+            sums = [[int(v), *[0] * (len(answers) - 1)] for v in (total.sum(), (total > 0).sum())]
+            return pa.table({"slice": rows.column("slice"), "shard": rows.column("shard"), "counts": pa.array(answers, pa.binary()), "total": pa.array(sums[0], pa.int64()), "distinct": pa.array(sums[1], pa.int64())})
+
+        blocks = self.slices.select("slice", "words", "n_distinct").mapInArrow(deal, "slice long, shard long, n long, words binary")
+        answers = blocks.groupBy("shard").applyInArrow(count, "slice long, shard long, counts binary, total long, distinct long")
+        self.answers = written(answers, "answers")
+        total, distinct = self.answers.agg(F.coalesce(F.sum("total"), zero), F.coalesce(F.sum("distinct"), zero)).first()
         self.train_tokens, self.distinct = total + self.ends, distinct + (self.ends > 0)
 
     def _count_neighbours(self, one_of: int) -> attention.Counts:
-        """Counts of the ids (at most the vocabulary's size reaches the driver), then of
-        their neighbours; the windows to learn from are written on the way."""
+        """Counts of the ids, then of their neighbours; the windows to learn from are
+        written on the way."""
         end = kept_by_worker(("subwords", self.ranks), lambda: Subwords(self.ranks)).end
-        per_id = np.zeros(end + 1)
-        for i, n in self.slices.filter("id IS NOT NULL").groupBy("id").agg(F.sum("n")).collect():
-            per_id[i] = n
+        per_id = tree_sum(self.slices.select(F.col("slice").alias("part"), F.col("id_counts").alias("data")), np.int64)
+        per_id = np.zeros(end + 1, np.int64) if per_id is None else per_id.copy()
+        per_id[end] = self.ends
         counts = attention.Counts.of_ids(per_id)
 
         def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,14 +236,14 @@ class CorpusModel:
             schema = pa.schema([("part", pa.int64()), ("data", pa.binary()), ("n_windows", pa.int64()), ("windows", pa.binary())])
             dense = None
             for batch in stream:
-                for number, doc_ids, held, ids in zip(*(batch.column(c).to_pylist() for c in ("slice", "doc_ids", "held", "ids"))):
-                    held = np.frombuffer(held, bool)
-                    sizes, ids = _ids(ids, len(held))
-                    taught = ~np.repeat(held, sizes)
-                    before = np.concatenate(([end], ids[:-1]))
-                    found = np.concatenate(counts.neighbours(before[taught], ids[taught]))
+                for number, doc_ids, held, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", "doc_ids", "held", *SLICE_COLUMNS))):
+                    held, own = np.frombuffer(held, bool), Slice(*row, end)
+                    taught = ~np.repeat(held, own.sizes)
+                    # Each document begins after an end, as after the one before it.
+                    before = np.concatenate(([end], own.ids[:-1]))
+                    found = np.concatenate(counts.neighbours(before[taught], own.ids[taught]))
                     dense = found if dense is None else dense + found
-                    sizes, ids = sizes[~held], ids[taught]
+                    sizes, ids = own.sizes[~held], own.ids[taught]
                     chosen = _chosen(np.frombuffer(doc_ids, np.int64)[~held], sizes, one_of)
                     context, target = attention.windows(ids, sizes, end, chosen=chosen)
                     if len(target):
@@ -192,7 +252,7 @@ class CorpusModel:
             if dense is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([part], [_pack(dense)], [None], [None]), schema)], schema=schema)
 
-        made = self.packed.select("slice", "doc_ids", "held", "ids").mapInArrow(run, "part long, data binary, n_windows long, windows binary")
+        made = self.slices.select("slice", "doc_ids", "held", *SLICE_COLUMNS).mapInArrow(run, "part long, data binary, n_windows long, windows binary")
         made = written(made, "neighbours")
         dense = tree_sum(made.filter("data IS NOT NULL").select("part", "data"), np.int64)
         split = counts.n_before * counts.n_classes
@@ -216,31 +276,28 @@ class CorpusModel:
         return parameters
 
     def base_scores(self) -> DataFrame:
-        """(slice, place, doc_id, held_out, n_tokens, n_known, base_score): the words of a
-        slice bring their counts back to it."""
-        ends, room = self.ends, self.train_tokens + self.distinct + 1
-
-        def run(key: tuple, packed: pa.Table, answers: pa.Table) -> pa.Table:
-            row = {c: packed.column(c)[0].as_py() for c in ("doc_ids", "held", "entries")}
-            doc_ids, held = np.frombuffer(row["doc_ids"], np.int64), np.frombuffer(row["held"], bool)
-            entries = _unpack(row["entries"], np.int64)
-            n_words, n_entries = entries[: 2 * len(held)].reshape(2, -1)
-            at, n = entries[2 * len(held) :].reshape(2, -1)
-            counts = np.zeros(len(answers), np.int64)
-            counts[answers.column("at").to_numpy()] = answers.column("total").to_numpy()
-            doc = np.repeat(np.arange(len(held)), n_entries)
-            logs = np.log10((counts + 1.0) / room)
-            score = np.bincount(doc, logs[at] * n, len(held)) + math.log10((ends + 1) / room)
-            known = np.bincount(doc, (counts[at] > 0) * n, len(held)).astype(np.int64) + (ends > 0)
+        """(slice, place, doc_id, held_out, n_tokens, n_known, base_score): the shards'
+        answers come back to the slice whose words they are."""
+        ends, room, shards = self.ends, self.train_tokens + self.distinct + 1, self.shards
+
+        def run(key: tuple, slices: pa.Table, answers: pa.Table) -> pa.Table:
+            row = {c: slices.column(c)[0].as_py() for c in ("doc_ids", "held", "n_words", "places", "words", "n_distinct")}
+            doc_ids, held, n_words = (np.frombuffer(row[c], k) for c, k in (("doc_ids", np.int64), ("held", bool), ("n_words", np.int64)))
+            found, _ = _slice_words(row["words"], row["n_distinct"])
+            parts = answers.column("counts").to_pylist()
+            counts = np.zeros(len(found), np.int64)
+            if parts:
+                by_shard = np.argsort(answers.column("shard").to_numpy())
+                counts[np.argsort(_shards(found, shards), kind="stable")] = np.concatenate([_unpack(parts[i], np.int64) for i in by_shard])
+            place, doc = _unpack(row["places"], np.uint32), np.repeat(np.arange(len(held)), n_words)
+            score = np.bincount(doc, np.log10((counts + 1.0) / room)[place], len(held)) + math.log10((ends + 1) / room)
+            known = np.bincount(doc, (counts > 0)[place], len(held)).astype(np.int64) + (ends > 0)
             return pa.table({"slice": pa.array(np.full(len(held), key[0].as_py())), "place": pa.array(np.arange(len(held))), "doc_id": pa.array(doc_ids), "held_out": pa.array(held), "n_tokens": pa.array(n_words + 1), "n_known": pa.array(known), "base_score": pa.array(score)})
 
-        counts = self.words.select("word", F.col("n").alias("total"))
-        # A frequent word has a row in every slice.
-        hot = salts(self.words, "word", "slices")
-        answers = salted_join(self.named.drop("n"), counts, "word", spread_by="slice", hot=hot).select(F.col("slice").alias("of"), "at", "total")
-        packed = self.packed.select("slice", "doc_ids", "held", "entries")
+        own = self.slices.select("slice", "doc_ids", "held", "n_words", "places", "words", "n_distinct")
+        answers = self.answers.select("slice", "shard", "counts")
         schema = "slice long, place long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double"
-        return packed.groupBy("slice").cogroup(answers.groupBy("of")).applyInArrow(run, schema)
+        return own.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, schema)
 
     def model_scores(self) -> DataFrame:
         """(slice, place, score): log10 of the model's probability of each whole document."""
@@ -250,12 +307,12 @@ class CorpusModel:
         def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = attention.Attention(parameters, counts)
             for batch in stream:
-                for number, held, data in zip(*(batch.column(c).to_pylist() for c in ("slice", "held", "ids"))):
-                    sizes, ids = _ids(data, len(held))
-                    score = model.documents(ids, sizes, end) / math.log(10)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sizes), number)), pa.array(np.arange(len(sizes))), pa.array(score)], ["slice", "place", "score"])
+                for number, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", *SLICE_COLUMNS))):
+                    own = Slice(*row, end)
+                    score = model.documents(own.ids, own.sizes, end) / math.log(10)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(score), number)), pa.array(np.arange(len(score))), pa.array(score)], ["slice", "place", "score"])
 
-        return self.packed.select("slice", "held", "ids").mapInArrow(run, "slice long, place long, score double")
+        return self.slices.select("slice", *SLICE_COLUMNS).mapInArrow(run, "slice long, place long, score double")
 
     def scores(self) -> DataFrame:
         found = self.base_scores().join(self.model_scores(), ["slice", "place"])
