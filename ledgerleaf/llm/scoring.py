@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm import attention
-from ledgerleaf.llm.tools import doc_rows, kept_by_worker, text_bytes, text_slices, tree_sum, words
+from ledgerleaf.llm.tools import doc_rows, kept_by_worker, text_bytes, text_slices, tree_sum
 from ledgerleaf.session import written
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,6 +41,10 @@ WORDS_PER_SHARD = 1 << 20
 SLICES = "slice long, doc_ids binary, held binary, n_words binary, n_train long, n_distinct long, places binary, words binary, word_ids binary, id_counts binary"
 
 
+# White space beyond ASCII, in UTF-8.
+OTHER_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+
 def held_out(doc_id: Column) -> Column:
     """The part that no model learns from: crc32 of the id's digits mod 7 is 2."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2
@@ -54,6 +60,9 @@ class Subwords:
             known = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
         self.encoder = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=known, special_tokens={})
         self.end = max(known.values()) + 1
+        self.lengths = np.zeros(self.end, np.int64)
+        for token, i in known.items():
+            self.lengths[i] = len(token)
 
     def of_words(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, one after the other, and how many each has."""
@@ -61,6 +70,28 @@ class Subwords:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter((i for own in ids for i in own), np.int64, int(sizes.sum())), sizes
 
+    def of_many(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, from one text of all words: a space parts words before the merges, so
+        no token crosses it, unless a word holds other white space or is no UTF-8."""
+        joined = b" " + b" ".join(found) if found else b""
+        if OTHER_SPACE.search(joined):
+            odd = np.fromiter((OTHER_SPACE.search(w) is not None for w in found), bool, len(found))
+            if odd.all():
+                return self.of_words(found)
+            parts = [self.of_words([w for w, o in zip(found, odd) if o]), self.of_many([w for w, o in zip(found, odd) if not o])]
+            sizes, starts = np.empty(len(found), np.int64), np.empty(len(found), np.int64)
+            for (ids, own), chosen, base in zip(parts, (odd, ~odd), (0, len(parts[0][0]))):
+                sizes[chosen], starts[chosen] = own, base + np.cumsum(own) - own
+            return np.concatenate([parts[0][0], parts[1][0]])[spread(starts, sizes)], sizes
+        try:
+            text = joined.decode("utf-8")
+        except UnicodeDecodeError:
+            return self.of_words(found)
+        ids = np.array(self.encoder.encode_ordinary(text), np.int64)
+        word_ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
+        token_ends = np.cumsum(self.lengths[ids])
+        return ids, np.diff(np.searchsorted(token_ends, word_ends, side="right"), prepend=0)
+
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of each run, one run after the other."""
@@ -76,6 +107,18 @@ def _unpack(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), kind)
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and all of them, dictionary-encoded.  Words are parted
+    by ASCII blanks and A-Z lower-cased; the kernels look at ASCII bytes alone."""
+    pieces = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    flat = pieces.flatten()
+    # A blank at an edge of the text leaves an empty piece.
+    full = pc.greater(pc.binary_length(flat), 0)
+    before = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))
+    offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+    return np.diff(before[offsets]).astype(np.int64), flat.filter(full).dictionary_encode()
+
+
 def _sliced(ranks: str, slice_bytes: int):
     """Documents in slices: the distinct words of a slice, their subword ids, and for each
     document the places of its words among them."""
@@ -85,13 +128,10 @@ def _sliced(ranks: str, slice_bytes: int):
         number = TaskContext.get().partitionId() << 32
         for table in text_slices(stream, slice_bytes):
             subwords = kept_by_worker(("subwords", ranks), lambda: Subwords(ranks))
-            own = [words(t) for t in table.column("text_utf8").to_pylist()]
             held = np.asarray(table.column("held_out"))
-            n_words = np.fromiter(map(len, own), np.int64, len(own))
-            flat = pa.array([w for doc in own for w in doc], pa.binary()).dictionary_encode()
-            del own
-            found, place = flat.dictionary.to_pylist(), flat.indices.to_numpy()
-            ids, sizes = subwords.of_words(found)
+            n_words, flat = split_words(table.column("text_utf8").combine_chunks())
+            found, place = flat.dictionary.view(pa.binary()).to_pylist(), flat.indices.to_numpy()
+            ids, sizes = subwords.of_many(found)
             train = np.bincount(place[~np.repeat(held, n_words)], minlength=len(found))
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             row = [
@@ -195,14 +235,13 @@ class CorpusModel:
                     shard = _shards(found, shards)
                     order = np.argsort(shard, kind="stable")
                     starts = np.searchsorted(shard[order], np.arange(shards + 1))
-                    found, train = found.take(pa.array(order)).to_pylist(), train[order]
+                    found, train = found.take(pa.array(order)), train[order]
+                    ends = np.frombuffer(found.buffers()[1], np.int32)[: n + 1].astype(np.int64)
+                    lengths, whole = np.diff(ends).astype(np.uint32), found.buffers()[2].to_pybytes() if n else b""
                     full = np.flatnonzero(np.diff(starts)).tolist()
-                    blobs, sizes = [], []
-                    for k in full:
-                        own = found[starts[k] : starts[k + 1]]
-                        lengths = np.fromiter(map(len, own), np.uint32, len(own))
-                        blobs.append(zstandard.compress(lengths.tobytes() + train[starts[k] : starts[k + 1]].tobytes() + b"".join(own), 3))
-                        sizes.append(len(own))
+                    bounds = [(starts[k], starts[k + 1]) for k in full]
+                    sizes = [int(j - i) for i, j in bounds]
+                    blobs = [zstandard.compress(lengths[i:j].tobytes() + train[i:j].tobytes() + whole[ends[i] : ends[j]], 3) for i, j in bounds]
                     yield pa.RecordBatch.from_arrays([pa.array([number] * len(full), pa.int64()), pa.array(full, pa.int64()), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], ["slice", "shard", "n", "words"])
 
         def count(key: tuple, rows: pa.Table) -> pa.Table:
