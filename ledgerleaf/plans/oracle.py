@@ -458,7 +458,6 @@ PREDICTIONS = """WITH preds AS (
   FROM per_class GROUP BY model
 )"""
 # The labels as they are, and with gaps and an extra one.
-PLAIN_LABEL = "kind"
 LOOSE_LABEL = "CASE WHEN doc_id % 17 = 5 THEN NULL WHEN doc_id % 19 = 3 THEN 'Contract' ELSE kind END"
 
 
@@ -476,7 +475,6 @@ ranked AS (
 
 
 SPLIT = _split(LOOSE_LABEL)
-TEST_SPLIT = _split(PLAIN_LABEL)
 
 
 def _terms(name: str, source: str) -> str:
@@ -534,6 +532,14 @@ pairs AS (
 )"""
 
 
+SCORED = f"""{BAYES}, best AS (
+  SELECT doc_id, label AS predicted, score FROM totals QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1
+), sure AS (
+  SELECT t.doc_id, round(1.0 / sum(exp(t.score - b.score)), 3) AS confidence
+  FROM totals t JOIN best b ON b.doc_id = t.doc_id GROUP BY t.doc_id
+)"""
+
+
 # --- search ----------------------------------------------------------------------------------------
 def _fold(x: str) -> str:
     return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -610,16 +616,13 @@ SELECT conv_id, {_strip_all(f"coalesce(string_agg(t, {LF} ORDER BY turn) FILTER
     "tfidf_weights": f"{ALL_DOCS}, {_normed('fit')} SELECT doc_id, count(*) AS n_terms, round(sum(weight), 4) AS sum_weight, round(max(weight), 6) AS max_weight FROM fit_weights GROUP BY doc_id",
     "stratified_split": f"{SPLIT} SELECT doc_id, label, is_test FROM parted",
     "nb_relational": f"{BAYES} SELECT doc_id, label AS predicted, round(score, 4) AS score FROM totals QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1",
-    "train_logreg": "SELECT 'LogisticRegression' AS model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1",
-    "train_svm": "SELECT 'LinearSVM' AS model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1",
-    "train_evaluate_select": "SELECT model, TRUE AS good_accuracy, TRUE AS good_precision, TRUE AS good_recall, TRUE AS good_f1, TRUE AS no_better_than_chosen "
-    + "FROM (VALUES ('LogisticRegression'), ('LinearSVM'), ('NaiveBayes')) m(model)",
-    "ml_score": f"{TEST_SPLIT} SELECT label, count(*) AS n, TRUE AS good, TRUE AS sure FROM parted WHERE is_test GROUP BY label",
-    "process_with_model": f"""{TEST_SPLIT}
-SELECT label AS kind, count(*) AS n, TRUE AS good, 'NaiveBayes' AS classifier, TRUE AS scored FROM parted WHERE is_test GROUP BY label
+    "ml_score": f"{SCORED} SELECT doc_id, predicted, confidence FROM best JOIN sure USING (doc_id)",
+    "process_with_model": f"""{SCORED}
+SELECT 'saved' AS model, doc_id, CASE WHEN length(clean_text) < 15 THEN 'Other' ELSE predicted END AS document_type,
+  confidence, 'NaiveBayes' AS classifier FROM test JOIN best USING (doc_id) JOIN sure USING (doc_id)
 UNION ALL
-SELECT CASE WHEN length(clean_text) < 15 THEN 'Other' ELSE rule_label END, count(*), TRUE, 'Rule-based', FALSE
-FROM parted JOIN (SELECT doc_id, rule_label FROM ({RULED} SELECT * FROM ruled)) USING (doc_id) WHERE is_test GROUP BY 1""",
+SELECT 'absent', doc_id, CASE WHEN length(clean_text) < 15 THEN 'Other' ELSE rule_label END, NULL, 'Rule-based'
+FROM test JOIN (SELECT doc_id, rule_label FROM ({RULED} SELECT * FROM ruled)) USING (doc_id)""",
     "classify_with_fallback": f"""{RULED} SELECT doc_id, CASE WHEN filename LIKE '%.pdf' THEN kind ELSE rule_label END AS document_type,
   CASE WHEN filename LIKE '%.pdf' THEN CAST(0.875 AS DOUBLE) END AS confidence,
   CASE WHEN filename LIKE '%.pdf' THEN 'NaiveBayes' ELSE 'Rule-based' END AS classifier FROM ruled""",

@@ -12,8 +12,9 @@ from ledgerleaf.plans.oracle import ORACLE
 from ledgerleaf.plans.queries import QUERIES
 from ledgerleaf.sources import tables
 
-# What these two do, ``train_evaluate_select`` does again for all candidates.
-COVERED = {"train_logreg", "train_svm"}
+# SQL cannot minimise a loss: tests/test_linear.py holds what these queries train
+# against exact slopes and a plain solver.
+ITERATIVE = {"train_logreg", "train_svm", "train_evaluate_select"}
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +30,7 @@ def rows_of(columns, rows):
     return sorted(tuple(repr(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - COVERED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ITERATIVE))
 def test_query_equals_sql(spark, sf, con, name):
     df = contract.queries()[name](spark, sf)
     cur = con.execute(contract.oracle_sql()[name])
@@ -40,7 +41,7 @@ def test_query_equals_sql(spark, sf, con, name):
 
 def test_entry_and_keys(spark):
     assert contract.entry(spark).count() > 0
-    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) == set(ORACLE) | ITERATIVE and set(QUERIES) <= set(contract.queries())
 
 
 def test_sort_orders_are_reversed(spark, sf):
@@ -143,9 +144,9 @@ def test_models_agree_and_persist(spark, tmp_path):
     confidence = {n: models.score(m, docs).filter("confidence IS NOT NULL").count() for n, m in fitted.items()}
     assert confidence == {"LogisticRegression": 24, "LinearSVM": 0, "NaiveBayes": 24}
     models.save_model(best, str(tmp_path / "m"))
-    again = models.load_model(str(tmp_path / "m"))
+    again = models.load_model(spark, str(tmp_path / "m"))
     assert models.score(again, docs).filter("predicted <> label").count() == 0
-    assert models.load_model(str(tmp_path / "absent")) is None
+    assert models.load_model(spark, str(tmp_path / "absent")) is None
     without = models.classify(docs, None)
     assert without.filter("model_label IS NOT NULL OR classifier <> 'Rule-based'").count() == 0
     bayes = tfidf.NaiveBayes(docs)
