@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +51,13 @@ def processed(docs: DataFrame, text: str = "text", model_label: str | None = Non
     the cleaned text and the label are computed once and then referred to.
     ``model_label`` names a column with a trained model's label; where it is
     NULL the keyword rule decides.  Optional columns ``notes`` (ARRAY),
-    ``read_error``, ``used_ocr`` and ``confidence`` are honoured.
+    ``read_error``, ``extract_error``, ``used_ocr`` and ``confidence`` are honoured: a
+    document whose extraction failed keeps its type, has no fields and is reviewed.
     """
     defaults = {
         "notes": no_strings(),
         "read_error": F.lit(None).cast("string"),
+        "extract_error": F.lit(None).cast("string"),
         "used_ocr": F.lit(False),
         "confidence": F.lit(None).cast("double"),
         "classifier": F.lit(C.RULE_CLASSIFIER),
@@ -65,12 +69,13 @@ def processed(docs: DataFrame, text: str = "text", model_label: str | None = Non
     df = with_rule_label(df)
     chosen = F.coalesce(F.col(model_label), F.col("rule_label")) if model_label else F.col("rule_label")
     df = df.withColumn("document_type", F.when(F.col("_failed"), C.OTHER).otherwise(chosen))
-    df = extract.with_fields(df, condition=~F.col("_failed"))
+    not_extracted = ~F.col("_failed") & F.col("extract_error").isNotNull()
+    df = extract.with_fields(df, condition=~F.col("_failed") & F.col("extract_error").isNull())
     df = df.withColumn(
         "_missing", status.missing_important(F.col("document_type"), F.col("fields"))
     ).withColumn("_review", status.review_reason(F.col("_missing"), F.col("confidence")))
     state, reason = status.ingest_status(
-        F.col("_failed"), F.lit(False), F.col("_review"), F.col("notes"), F.col("read_error")
+        F.col("_failed"), not_extracted, F.col("_review"), F.col("notes"), F.col("read_error")
     )
     return df.withColumns(
         {
@@ -81,12 +86,13 @@ def processed(docs: DataFrame, text: str = "text", model_label: str | None = Non
     ).drop("_missing", "_review", "_failed", "invoice_score", "resume_score", "rule_label")
 
 
-def outcome(files: DataFrame, library: DataFrame) -> DataFrame:
+def outcome(files: DataFrame, library: DataFrame | Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Kind of outcome and message of every uploaded file.
 
     A file repeats another when its hash is in the library, or when an earlier
     file of the same batch has it, as if the files came one after another; the
-    message names the stored file.  Optional columns ``store_error`` and
+    message names the stored file.  ``library`` may be a function of the files' hashes
+    that returns the part of the library to compare them with.  Optional columns ``store_error`` and
     ``metadata_error`` hold what went wrong when a new file was stored.
     """
     checked = validated(files)
@@ -95,7 +101,8 @@ def outcome(files: DataFrame, library: DataFrame) -> DataFrame:
             checked = checked.withColumn(column, F.lit(None).cast("string"))
     # The bytes are hashed once into a narrow table that finds the duplicates.
     keys = written(checked.select("file_hash", *ORDER, "filename").filter("file_hash IS NOT NULL"), "keys")
-    checked = checked.join(verdicts(keys, library), "doc_id", "left")
+    stored = library(keys) if callable(library) else library
+    checked = checked.join(verdicts(keys, stored), "doc_id", "left")
     kind = (
         F.when(F.col("upload_error").isNotNull(), "rejected")
         .when(F.col("repeated").isNotNull(), "duplicate")
@@ -150,7 +157,7 @@ def trace(outcomes: DataFrame) -> DataFrame:
                     read,
                     _step(C.STEP_CLEAN, after_read.when(short, "fail").otherwise("ok")),
                     _step(C.STEP_CLASSIFY, after_clean),
-                    _step(C.STEP_EXTRACT, after_clean),
+                    _step(C.STEP_EXTRACT, F.when(after_clean == "skip", "skip").when(F.col("extract_error").isNotNull(), "fail").otherwise("ok")),
                     _step(C.STEP_STORE_FILE, F.when(not_stored, "fail").otherwise("ok")),
                 ),
                 F.when(not_stored, F.slice(last, 1, 0)).otherwise(last),

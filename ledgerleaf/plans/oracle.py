@@ -598,6 +598,7 @@ ORACLE = {
     "dedup_keep_first": f"{RAW} SELECT doc_id, sha256(text) AS file_hash FROM docs_raw QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY upload_ts, doc_id) = 1",
     "stream_dedup": f"{RAW} SELECT doc_id, sha256(text) AS file_hash FROM docs_raw QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY upload_ts, doc_id) = 1",
     "ingest_outcome": f"{OUTCOME} SELECT doc_id, kind, message FROM outcomes",
+    "stream_ingest": f"{OUTCOME} SELECT doc_id, kind, message FROM outcomes",
     "ingest_trace": f"""{OUTCOME} SELECT doc_id, CASE kind WHEN 'rejected' THEN 'Validate=fail'
   WHEN 'duplicate' THEN 'Validate=ok > Hash=ok > Duplicate check=stop'
   ELSE 'Validate=ok > Hash=ok > Duplicate check=ok > Read / OCR=ok > ' || CASE WHEN length(clean_text) < 15
@@ -642,6 +643,11 @@ FROM test JOIN (SELECT doc_id, rule_label FROM ({RULED} SELECT * FROM ruled)) US
     "missing_important": f"{DONE} SELECT doc_id, missing FROM done",
     "determine_status": f"{RULED}, given AS (SELECT *, CAST([] AS VARCHAR[]) AS notes, CAST(NULL AS VARCHAR) AS read_error, {CONFIDENCE} AS confidence FROM ruled),\n{_extracted('given', 'FALSE')} SELECT doc_id, status, status_reason FROM done",
     "ingest_status": f"{RULED}, given AS (SELECT *, {NOTES} AS notes, CASE WHEN filename LIKE '%.jpeg' THEN {_q(C.MSG_UNREADABLE)} END AS read_error, {CONFIDENCE} AS confidence FROM ruled),\n{_extracted('given', '(length(clean_text) < 15 OR read_error IS NOT NULL)')} SELECT doc_id, document_type, status, status_reason FROM done",
+    "ingest_errors": f"""{RULED}, given AS (SELECT *, CAST([] AS VARCHAR[]) AS notes, CASE WHEN doc_id % 11 = 4 THEN {_q(C.MSG_UNREADABLE)} END AS read_error, CAST(NULL AS DOUBLE) AS confidence FROM ruled),
+{_extracted('given', '(length(clean_text) < 15 OR read_error IS NOT NULL)')}, lost AS (SELECT *, doc_id % 7 = 3 AND NOT is_failed AS not_extracted FROM done)
+SELECT doc_id, document_type, CASE WHEN not_extracted THEN 'Needs Review' ELSE status END AS status,
+  CASE WHEN not_extracted THEN {_q(C.MSG_NOT_EXTRACTED)} ELSE status_reason END AS status_reason,
+  CASE WHEN NOT not_extracted THEN company END AS company FROM lost""",
     "process_corpus": f"{DONE} SELECT doc_id, document_type, status, status_reason, 'Rule-based' AS classifier, {FLAT_NAMES} FROM done",
     "corpus_summary": f"{DONE} SELECT kind, document_type, status, count(*) AS n, count(total) AS with_total FROM done GROUP BY kind, document_type, status",
     "apply_corrections": f"""{STORED}, fixes AS (
@@ -688,6 +694,11 @@ FROM test JOIN (SELECT doc_id, rule_label FROM ({RULED} SELECT * FROM ruled)) US
   FROM wf_events LEFT JOIN stored_docs ON doc_id = document_id WHERE doc_id IS NULL OR NOT {_allowed(STATE, 'requested_state')}""",
     "change_status": f"""{CHANGE}, last AS (
   SELECT document_id, arg_max(after, rn) AS after, count(*) FILTER (WHERE after <> before) AS applied FROM fold GROUP BY document_id
+) SELECT doc_id, CASE WHEN coalesce(applied, 0) > 0 THEN after ELSE workflow_status END AS workflow_status
+  FROM stored_docs LEFT JOIN last ON document_id = doc_id""",
+    "stream_workflow_audit": f"{CHANGE} SELECT document_id, 'changed' AS action, before AS previous_status, after AS new_status, 'request ' || CAST(seq AS VARCHAR) AS reason FROM fold WHERE after <> before",
+    "stream_workflow_states": f"""{CHANGE}, last AS (
+  SELECT document_id, arg_max(after, rn) AS after, count(*) FILTER (WHERE after <> before) AS applied FROM fold GROUP BY document_id
 ) SELECT doc_id, CASE WHEN coalesce(applied, 0) > 0 THEN after ELSE workflow_status END AS workflow_status
   FROM stored_docs LEFT JOIN last ON document_id = doc_id""",
     "change_status_audit": f"{CHANGE} SELECT document_id, seq AS pos, 'changed' AS action, before AS previous_status, after AS new_status, 'request ' || CAST(seq AS VARCHAR) AS reason FROM fold WHERE after <> before",

@@ -243,6 +243,30 @@ def ingest_trace(spark, sf):
     return traced.select("doc_id", ingest.trace_text(F.col("trace")).alias("trace"))
 
 
+def _in_slices(spark, rows: DataFrame, by: str, bounds: list, purpose: str) -> DataFrame:
+    """A feed of ``rows`` that brings one slice of ``by`` per micro-batch, in order."""
+    inbox = scratch_dir(spark, purpose)
+    rows = written(rows, purpose)
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = rows
+        if low is not None:
+            part = part.filter(F.col(by) >= low)
+        if high is not None:
+            part = part.filter(F.col(by) < high)
+        part.coalesce(1).write.mode("append").parquet(inbox)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+
+
+def stream_ingest(spark, sf):
+    """The files of ``ingest_outcome`` as they land, in three micro-batches."""
+    library, batch = library_and_batch(spark, sf)
+    cuts = [F.lit(day).cast("timestamp_ntz") for day in ("2000-09-01", "2001-02-01")]
+    feed = _in_slices(spark, batch, "upload_ts", cuts, "landing")
+    path = scratch_dir(spark, "ingested")
+    ingest_stream.start_ingest(feed, path, scratch_dir(spark, "checkpoint"), library).awaitTermination()
+    return ingest_stream.outcomes(spark, path).select("doc_id", "kind", "message")
+
+
 def missing_ids(spark, sf):
     requested = corpus(spark, sf, "batch_ids").select(F.col("document_id").alias("doc_id"))
     return search.missing_ids(requested, stored(spark, sf))
@@ -469,6 +493,17 @@ def ingest_status(spark, sf):
     return ingest.processed(docs).select("doc_id", "document_type", "status", "status_reason")
 
 
+def ingest_errors(spark, sf):
+    """Reading fails for some files and extraction for others."""
+    docs = corpus(spark, sf, "docs_raw").withColumns(
+        {
+            "read_error": F.when(F.col("doc_id") % 11 == 4, C.MSG_UNREADABLE),
+            "extract_error": F.when(F.col("doc_id") % 7 == 3, F.concat(F.lit("no fields in "), "filename")),
+        }
+    )
+    return ingest.processed(docs).select("doc_id", "document_type", "status", "status_reason", "company")
+
+
 def process_corpus(spark, sf):
     return extracted_docs(spark, sf).select(
         "doc_id", "document_type", "status", "status_reason", "classifier", *flat_fields()
@@ -698,6 +733,25 @@ def stream_workflow(spark, sf):
     return workflow_stream.current_states(spark, out)
 
 
+def _reviewed(spark, sf) -> str:
+    requests = status_requests(spark, sf)
+    top = requests.agg(F.max("seq")).first()[0] + 1
+    feed = _in_slices(spark, requests, "seq", [top // 3, 2 * top // 3], "asked")
+    path = scratch_dir(spark, "reviewed")
+    workflow_stream.start_review(feed, stored(spark, sf), path, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return path
+
+
+def stream_workflow_audit(spark, sf):
+    """The requests of ``change_status_audit`` as they arrive, in three micro-batches."""
+    rows = workflow_stream.reviewed(spark, _reviewed(spark, sf), "audit")
+    return rows.select("document_id", "action", "previous_status", "new_status", "reason")
+
+
+def stream_workflow_states(spark, sf):
+    return workflow_stream.reviewed_states(spark, _reviewed(spark, sf))
+
+
 # --- audit ---------------------------------------------------------------------------------------------
 def audit_history(spark, sf):
     rows = audit.history(corpus(spark, sf, "audit_rows"), stored(spark, sf))
@@ -845,6 +899,7 @@ QUERIES = {
     "ingest_outcome": ingest_outcome,
     "ingest_trace": ingest_trace,
     "missing_ids": missing_ids,
+    "stream_ingest": stream_ingest,
     "clean_text": clean_text,
     "too_short": too_short,
     "text_preview": text_preview,
@@ -879,6 +934,7 @@ QUERIES = {
     "missing_important": missing_important,
     "determine_status": determine_status,
     "ingest_status": ingest_status,
+    "ingest_errors": ingest_errors,
     "process_corpus": process_corpus,
     "corpus_summary": corpus_summary,
     "apply_corrections": apply_corrections,
@@ -913,6 +969,8 @@ QUERIES = {
     "review_refused": review_refused,
     "replay_workflow": replay_workflow,
     "stream_workflow": stream_workflow,
+    "stream_workflow_audit": stream_workflow_audit,
+    "stream_workflow_states": stream_workflow_states,
     "audit_history": audit_history,
     "latest_action": latest_action,
     "search_words": search_words,

@@ -11,6 +11,7 @@ from ledgerleaf.functions.fields import load_fields
 from ledgerleaf.functions.upload import folder_for
 from ledgerleaf.operators.audit import numbered
 from ledgerleaf.schemas import AUDIT_LOG, WORKFLOW_COLUMNS
+from ledgerleaf.session import written
 
 
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -47,19 +48,33 @@ def write_documents(rows: DataFrame, path: str, mode: str = "append") -> None:
     routed.write.mode(mode).partitionBy("folder").parquet(path)
 
 
+def _marks(path: str) -> str:
+    return f"{path.rstrip('/')}_marks"
+
+
+def last_audit_id(spark: SparkSession, path: str) -> int:
+    """The highest id given out for the log.  It is read from the marks that appends
+    leave, a row each; a log without marks is scanned, once."""
+    for where, column in ((_marks(path), "last_id"), (path, "id")):
+        try:
+            return spark.read.parquet(where).agg(F.max(column)).first()[0] or 0
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return 0
+
+
 def append_audit(rows: DataFrame, path: str, stamped_at=None) -> None:
     """Append what an operator reports, with ids that go on where the log ends.
 
-    Appends to one log must follow each other, as its ids do.
+    The ids are reserved before the rows are written: an append that fails leaves a gap,
+    never an id twice.  Appends to one log must follow each other, as its ids do.
     """
     spark = rows.sparkSession
-    try:
-        last = scan_audit(spark, path).agg(F.max("id")).first()[0] or 0
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = 0
-    numbered(rows, last + 1, stamped_at).write.mode("append").parquet(path)
+    last = last_audit_id(spark, path)
+    ready = written(numbered(rows, last + 1, stamped_at), "appended")
+    spark.createDataFrame([(last + ready.count(),)], "last_id long").write.mode("append").parquet(_marks(path))
+    ready.write.mode("append").parquet(path)
 
 
 def write_report(metrics: DataFrame, matrices: DataFrame, best: str, path: str) -> None:

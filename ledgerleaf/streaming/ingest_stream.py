@@ -9,14 +9,19 @@ it, so retries give the same library.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerleaf.operators import ingest
 from ledgerleaf.operators.dedup import keys_of, verdicts
+from ledgerleaf.session import written
 
 BATCH = "batch_id"
+# Two hex digits of the hash: the folders of the library that a batch has to read.
+PREFIX = "prefix"
+LIBRARY = "file_hash STRING, doc_id LONG, original_filename STRING"
 
 
 def store_batch(batch: DataFrame, batch_id: int, library_path: str) -> None:
@@ -30,9 +35,11 @@ def store_batch(batch: DataFrame, batch_id: int, library_path: str) -> None:
     stored = earlier.select(
         "file_hash", "doc_id", F.lit(None).cast("string").alias("original_filename")
     )
-    new = batch.join(verdicts(keys, stored), "doc_id", "left_anti")
-    new.select(*batch.columns).write.mode("overwrite").parquet(f"{library_path}/{BATCH}={batch_id}")
-    keys.unpersist()
+    try:
+        new = batch.join(verdicts(keys, stored), "doc_id", "left_anti")
+        new.select(*batch.columns).write.mode("overwrite").parquet(f"{library_path}/{BATCH}={batch_id}")
+    finally:
+        keys.unpersist()
 
 
 def seed_library(rows: DataFrame, library_path: str) -> None:
@@ -51,3 +58,61 @@ def start_dedup(feed: DataFrame, library_path: str, checkpoint: str, **trigger)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def _by_prefix(library: DataFrame) -> DataFrame:
+    return library.withColumn(PREFIX, F.substring("file_hash", 1, 2))
+
+
+def library_rows(spark: SparkSession, path: str, keys: DataFrame, before: int) -> DataFrame:
+    """What batches before ``before`` stored, of the prefixes that ``keys`` holds: at most
+    256 of them, so their join prunes the folders that Spark reads."""
+    schema = f"{LIBRARY}, {BATCH} LONG, {PREFIX} STRING"
+    rows = spark.read.schema(schema).parquet(f"{path}/library").filter(F.col(BATCH) < before)
+    wanted = _by_prefix(keys.select("file_hash")).select(PREFIX).distinct()
+    return rows.join(F.broadcast(wanted), PREFIX, "left_semi").select("file_hash", "doc_id", "original_filename")
+
+
+def ingest_batch(files: DataFrame, batch_id: int, path: str) -> None:
+    """Validate, hash, compare, process and store one micro-batch of landed files.
+
+    Below ``path``: ``outcomes`` (every file with kind, message and trace), ``documents``
+    (rows of the new files) and ``library`` (their hashes by prefix), each with a folder
+    per batch.  A batch that runs again replaces its folders and looks at earlier ones
+    only, so retries give the same tables.
+    """
+    spark = files.sparkSession
+    done = ingest.outcome(files, lambda keys: library_rows(spark, path, keys, batch_id))
+    done = written(ingest.trace(done), "ingested")
+    here = f"{BATCH}={batch_id}"
+    shown = done.select("doc_id", "filename", "kind", "message", ingest.trace_text(F.col("trace")).alias("trace"))
+    shown.write.mode("overwrite").parquet(f"{path}/outcomes/{here}")
+    new = done.filter(F.col("kind") == "new")
+    ingest.stored_rows(new).write.mode("overwrite").parquet(f"{path}/documents/{here}")
+    hashes = _by_prefix(new.select("file_hash", "doc_id", F.col("filename").alias("original_filename")))
+    hashes.repartition(PREFIX).write.mode("overwrite").partitionBy(PREFIX).parquet(f"{path}/library/{here}")
+
+
+def start_ingest(feed: DataFrame, path: str, checkpoint: str, library: DataFrame | None = None, **trigger) -> StreamingQuery:
+    """Ingest an unbounded feed of landed files, such as ``landed.stream_landed``.
+
+    ``library`` (file_hash, doc_id, original_filename) is what was stored before the
+    stream began; it becomes batch -1, once.  The feed may carry ``text`` and the
+    optional columns of ``ingest.outcome``; without ``text`` a file has none.
+    """
+    spark = feed.sparkSession
+    stored = library if library is not None else spark.createDataFrame([], LIBRARY)
+    stored = _by_prefix(stored.select("file_hash", "doc_id", "original_filename"))
+    stored.repartition(PREFIX).write.mode("ignore").partitionBy(PREFIX).parquet(f"{path}/library/{BATCH}=-1")
+    if "text" not in feed.columns:
+        feed = feed.withColumn("text", F.lit(None).cast("string"))
+    return (
+        feed.writeStream.foreachBatch(lambda batch, batch_id: ingest_batch(batch, batch_id, path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def outcomes(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/outcomes").drop(BATCH)
