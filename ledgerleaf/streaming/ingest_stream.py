@@ -19,8 +19,8 @@ from ledgerleaf.operators.dedup import keys_of, verdicts
 from ledgerleaf.session import written
 
 BATCH = "batch_id"
-# Two hex digits of the hash: the folders of the library that a batch has to read.
-PREFIX = "prefix"
+# The first hex digits of a hash name the folder of the library that holds it.
+PREFIX, PREFIX_DIGITS = "prefix", 1
 LIBRARY = "file_hash STRING, doc_id LONG, original_filename STRING"
 
 
@@ -61,12 +61,12 @@ def start_dedup(feed: DataFrame, library_path: str, checkpoint: str, **trigger)
 
 
 def _by_prefix(library: DataFrame) -> DataFrame:
-    return library.withColumn(PREFIX, F.substring("file_hash", 1, 2))
+    return library.withColumn(PREFIX, F.substring("file_hash", 1, PREFIX_DIGITS))
 
 
 def library_rows(spark: SparkSession, path: str, keys: DataFrame, before: int) -> DataFrame:
     """What batches before ``before`` stored, of the prefixes that ``keys`` holds: at most
-    256 of them, so their join prunes the folders that Spark reads."""
+    16 of them, so their join prunes the folders that Spark reads."""
     schema = f"{LIBRARY}, {BATCH} LONG, {PREFIX} STRING"
     rows = spark.read.schema(schema).parquet(f"{path}/library").filter(F.col(BATCH) < before)
     wanted = _by_prefix(keys.select("file_hash")).select(PREFIX).distinct()
