@@ -146,9 +146,9 @@ SELECT CAST(o_orderkey * 3 AS BIGINT) AS doc_id,
        CAST(o_orderkey * 17 % 200000 AS BIGINT) AS file_size,
        CASE o_orderstatus WHEN 'F' THEN 'Processed' WHEN 'O' THEN 'Needs Review' ELSE 'Failed' END AS status,
        CASE o_orderkey % 12
-         WHEN 1 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"' || substr(CAST(o_orderdate AS STRING), 1, 10) || '","Total Amount":"$$1,250.50"}'
-         WHEN 2 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"' || CASE WHEN o_orderkey % 24 = 2 THEN '01/02/0000' ELSE '31st Feb maybe' END || '","Company Name":"Acme Ltd","Total Amount":"$$1,250.50"}'
-         WHEN 3 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"12/03/2026","Company Name":"Acme Ltd","Total Amount":"abc"}'
+         WHEN 1 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"' || substr(CAST(o_orderdate AS STRING), 1, 10) || '","Total Amount":"$$2,984.10"}'
+         WHEN 2 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"' || CASE WHEN o_orderkey % 24 = 2 THEN '01/02/0000' ELSE 'some day in Smarch' END || '","Company Name":"Rowan Mills Ltd","Total Amount":"$$2,984.10"}'
+         WHEN 3 THEN '{"Invoice Number":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"09/11/2025","Company Name":"Rowan Mills Ltd","Total Amount":"twelve"}'
          WHEN 4 THEN '{" invoice no ":"INV-' || CAST(o_orderkey AS STRING) || '","Date":"5 March 2026","Vendor":"House ' || CAST(o_custkey AS STRING) || '","Amount":"PKR 5,000"}'
          WHEN 5 THEN '{"Company":"First","invoice_id":"INV-' || CAST(o_orderkey AS STRING) || '","date":"Feb 29, 2025","vendor":"Second ' || CAST(o_custkey AS STRING) || '","total":"-4.50"}'
          WHEN 6 THEN '{}'
@@ -178,12 +178,12 @@ SELECT CAST(c_custkey * 3 + 1 AS BIGINT), 'cv_' || CAST(c_custkey AS STRING) ||
        CAST(c_custkey * 31 % 90000 AS BIGINT),
        CASE c_custkey % 3 WHEN 0 THEN 'Needs Review' ELSE 'Processed' END,
        CASE c_custkey % 6
-         WHEN 1 THEN '{"Name":"Person ' || CAST(c_custkey AS STRING) || '","Email":"not-an-email","Phone":"+92 300 1234567","Skills":["SQL"]}'
+         WHEN 1 THEN '{"Name":"Person ' || CAST(c_custkey AS STRING) || '","Email":"mail at nowhere","Phone":"+44 20 7946 0958","Skills":["SQL"]}'
          WHEN 2 THEN '{"Name":"Person ' || CAST(c_custkey AS STRING) || '","Email":"p' || CAST(c_custkey AS STRING) || '@example.com","Phone":"12-34","Skills":["SQL","Excel"]}'
          WHEN 3 THEN '{"Name":"Person ' || CAST(c_custkey AS STRING) || '","Email":"p' || CAST(c_custkey AS STRING) || '@example.com","Phone":"","Skills":[""," "]}'
          WHEN 4 THEN '{"Full Name":"Person ' || CAST(c_custkey AS STRING) || '","E-mail":" p' || CAST(c_custkey AS STRING) || '@mail.example.org ","Mobile":"(030) 123-4567","skills":"Java"}'
          WHEN 5 THEN '{"Email":"p' || CAST(c_custkey AS STRING) || '@example","Contact":"123 abc","Skills":[]}'
-         ELSE '{"Name":"Person ' || CAST(c_custkey AS STRING) || '","Email":"p' || CAST(c_custkey AS STRING) || '@example.com","Phone":"+92 300 1234567","Skills":["Python","SQL"]}'
+         ELSE '{"Name":"Person ' || CAST(c_custkey AS STRING) || '","Email":"p' || CAST(c_custkey AS STRING) || '@example.com","Phone":"+44 20 7946 0958","Skills":["Python","SQL"]}'
        END,
        CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey * 37 % 101 AS DOUBLE) / 100 END,
        CASE WHEN c_custkey % 7 = 5 THEN 'Needs Review' WHEN c_custkey % 7 = 6 THEN 'Completed' ELSE 'New' END,

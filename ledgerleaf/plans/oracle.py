@@ -633,6 +633,12 @@ FROM test JOIN (SELECT doc_id, rule_label FROM ({RULED} SELECT * FROM ruled)) US
   FROM preds WHERE model = 'LinearSVM' GROUP BY label""",
     "best_model": f"""{PREDICTIONS} SELECT model AS best_model FROM evaluated ORDER BY f1 DESC, accuracy DESC,
   list_position(['LogisticRegression', 'LinearSVM', 'NaiveBayes'], model) LIMIT 1""",
+    "evaluation_report": f"""{PREDICTIONS}, cells AS (
+  SELECT model, label, predicted, count(*) AS n FROM preds GROUP BY model, label, predicted
+), shown AS (
+  SELECT model, string_agg(label || '>' || predicted || '=' || CAST(n AS VARCHAR), '; ' ORDER BY label, predicted) AS cells FROM cells GROUP BY model
+) SELECT model, accuracy, f1, row_number() OVER (ORDER BY f1 DESC, accuracy DESC,
+  list_position(['LogisticRegression', 'LinearSVM', 'NaiveBayes'], model)) = 1 AS chosen, cells FROM evaluated JOIN shown USING (model)""",
     "distinct_labels": f"{RAW} SELECT DISTINCT kind AS label FROM docs_raw ORDER BY label",
     **{
         f"extract_{name}": f"{DOCS} SELECT doc_id, {sql} AS {name} FROM docs"

@@ -422,6 +422,17 @@ def best_model(spark, sf):
     return evaluate.best_model(eval_macro(spark, sf))
 
 
+def evaluation_report(spark, sf):
+    """The report of all models, written as JSON lines and read back."""
+    path, rows = scratch_dir(spark, "report"), written(predictions(spark, sf), "predictions")
+    metrics = written(evaluate.macro_metrics(rows, keys=("model",)), "metrics")
+    best = evaluate.best_model(metrics).first()["best_model"]
+    tables.write_report(metrics, evaluate.confusion_cells(rows, keys=("model",)), best, path)
+    cell = F.transform("confusion", lambda c: F.concat(c["label"], F.lit(">"), c["predicted"], F.lit("="), c["n"].cast("string")))
+    report = spark.read.schema("model STRING, accuracy DOUBLE, f1 DOUBLE, chosen BOOLEAN, confusion ARRAY<STRUCT<label: STRING, predicted: STRING, n: LONG>>").json(path)
+    return report.select("model", "accuracy", "f1", "chosen", F.array_join(cell, "; ").alias("cells"))
+
+
 def distinct_labels(spark, sf):
     return split.distinct_labels(labelled_docs(spark, sf))
 
@@ -920,6 +931,7 @@ QUERIES = {
     "eval_macro": eval_macro,
     "confusion_matrix": confusion_matrix,
     "best_model": best_model,
+    "evaluation_report": evaluation_report,
     "distinct_labels": distinct_labels,
     "extract_invoice_number": extraction("Invoice Number", C.INVOICE, "invoice_number"),
     "extract_date": extraction("Date", C.INVOICE, "date"),
