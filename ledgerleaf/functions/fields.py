@@ -144,9 +144,9 @@ def invalid_fields(canonical: Column, checks=CHECKS, reasons=C.INVALID_REASONS)
     return F.array_compact(F.array(*tested))
 
 
-def validation(document_type: Column, canonical: Column, missing: Column, invalid: Column):
+def validation(document_type: Column, canonical: Column, missing: Column, invalid: Column, checks=CHECKS):
     """The full result as one STRUCT."""
-    checked_names = literal_array(CHECKS)
+    checked_names = literal_array(checks)
     present = F.filter(checked_names, lambda n: F.map_contains_key(canonical, n))
     failed = F.array_distinct(F.concat(missing, F.transform(invalid, lambda e: e["key"])))
     return F.struct(
@@ -158,19 +158,24 @@ def validation(document_type: Column, canonical: Column, missing: Column, invali
     )
 
 
-def with_validation(df, document_type: str = "document_type", fields: str = "fields"):
-    """Adds ``canonical``, ``missing``, ``invalid`` and ``validation``."""
+def with_validation(df, document_type: str = "document_type", fields: str = "fields", checks=None, reasons=None):
+    """Adds ``canonical``, ``missing``, ``invalid`` and ``validation``.
+
+    ``checks`` (field -> function of its value) and ``reasons`` (field -> why it is
+    invalid) add to the registered ones, or replace those of the same field.
+    """
+    checks, reasons = {**CHECKS, **(checks or {})}, {**C.INVALID_REASONS, **(reasons or {})}
     kind = F.col(document_type)
     return (
         df.withColumn("canonical", normalize_fields(F.col(fields)))
         .withColumns(
             {
                 "missing": missing_required(kind, F.col("canonical")),
-                "invalid": invalid_fields(F.col("canonical")),
+                "invalid": invalid_fields(F.col("canonical"), checks, reasons),
             }
         )
         .withColumn(
             "validation",
-            validation(kind, F.col("canonical"), F.col("missing"), F.col("invalid")),
+            validation(kind, F.col("canonical"), F.col("missing"), F.col("invalid"), checks),
         )
     )
