@@ -91,3 +91,16 @@ def test_append_reads_marks_not_the_log(spark, tmp_path):
     spark.createDataFrame([(9,)], "last_id long").write.mode("append").parquet(path + "_marks")
     tables.append_audit(row, path)
     assert tables.last_audit_id(spark, path) == 10
+
+
+def test_manifest_of_many_depths_and_repeated_names(spark):
+    deep = ["s3://in/" + "/".join(f"d{k}" for k in range(n)) + "/doc.pdf" for n in range(1, 90)]
+    files = spark.createDataFrame([(i, p, "doc.pdf", 5, PDF) for i, p in enumerate([*deep, "s3://in/d0/other/doc.pdf"])], "doc_id long, path string, filename string, size long, content binary")
+    files = files.withColumn("upload_ts", F.lit("2026-01-01").cast("timestamp_ntz"))
+    asked = [(p.removeprefix("s3://"), 5) for p in deep] + [("other/doc.pdf", 5), ("doc.pdf", 5), ("gone/doc.pdf", 5), ("empty.pdf", 0)]
+    rows = landed.with_manifest(spark.createDataFrame(asked, "path string, size long"), files).collect()
+    assert len(rows) == len(asked)
+    found = {r.path: r for r in rows}
+    assert all(not found[p].lost and found[p].content for p in deep[1:]) and not found["s3://in/d0/other/doc.pdf"].ambiguous
+    assert [r.path for r in rows if r.ambiguous] == [min([*deep, "s3://in/d0/other/doc.pdf"])]
+    assert found["gone/doc.pdf"].lost and not found["empty.pdf"].lost and found["empty.pdf"].size == 0
