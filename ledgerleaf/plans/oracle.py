@@ -572,6 +572,18 @@ def _entries(entries: str, k: str, v: str) -> str:
 ORACLE = {
     "scan_labelled": f"{DOCS} SELECT kind AS label, clean_text FROM docs",
     "scan_landed": f"SELECT 'page ' || CAST(page_id AS VARCHAR) || '.pdf' AS filename, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS size, sha256(encode(html || {LF})) AS file_hash FROM pages",
+    "scan_manifest": """WITH named AS (
+  SELECT page_id, octet_length(encode(html)) AS size, 'f' || CAST(page_id AS VARCHAR) || '/p' || CAST(page_id % 50 AS VARCHAR) || '.pdf' AS name FROM pages
+), placed AS (SELECT *, 's3://in/' || repeat('d/', CAST(page_id % 80 AS BIGINT)) || name AS path FROM named),
+listed AS (
+  SELECT page_id, size, CASE page_id % 3 WHEN 0 THEN name WHEN 1 THEN path ELSE split_part(name, '/', 2) END AS asked FROM placed
+), hits AS (
+  SELECT l.page_id, min(f.path) AS path, count(*) > 1 AS several
+  FROM listed l JOIN placed f ON f.page_id % 11 <> 0 AND (f.path = l.asked OR ends_with(f.path, '/' || l.asked)) GROUP BY l.page_id
+) SELECT coalesce(h.path, asked) AS path, regexp_extract(coalesce(h.path, asked), '([^/]+)$', 1) AS filename,
+  CASE WHEN h.path IS NOT NULL THEN f.size WHEN l.size = 0 THEN 0 END AS size,
+  h.path IS NULL AND l.size <> 0 AS lost, coalesce(several, FALSE) AS ambiguous
+  FROM listed l LEFT JOIN hits h ON h.page_id = l.page_id LEFT JOIN placed f ON f.path = h.path""",
     "scan_documents": f"{STORED}, {LOADED} SELECT doc_id, {_entries('raw_entries', 'key', 'value')} AS fields FROM loaded",
     "route_folder": f"{STORED} SELECT doc_id, document_type, {_folder('document_type')} AS folder FROM stored_docs",
     "safe_filename": f"{RAW} SELECT doc_id, {_stored_name(EXT, 'upload_ts', 'sha256(text)')} AS stored_filename FROM docs_raw",

@@ -130,6 +130,22 @@ def scan_landed(spark, sf):
     )
 
 
+def scan_manifest(spark, sf):
+    """A list of whole paths, of their ends and of bare names, against files up to 80
+    folders deep whose names repeat."""
+    page = F.col("page_id")
+    name = F.concat(F.lit("f"), page.cast("string"), F.lit("/p"), (page % 50).cast("string"), F.lit(".pdf"))
+    path = F.concat(F.lit("s3://in/"), F.repeat(F.lit("d/"), (page % 80).cast("int")), name)
+    pages_ = table(spark, sf, "pages").select(page, path.alias("path"), name.alias("name"), F.octet_length("html").cast("long").alias("size"))
+    files = pages_.filter(page % 11 != 0).select(
+        page.alias("doc_id"), "path", F.substring_index("path", "/", -1).alias("filename"),
+        F.lit(None).cast("timestamp_ntz").alias("upload_ts"), "size", F.lit(None).cast("binary").alias("content"),
+    )
+    listed = F.when(page % 3 == 0, F.col("name")).when(page % 3 == 1, F.col("path")).otherwise(F.substring_index("name", "/", -1))
+    found = landed_source.with_manifest(pages_.select(listed.alias("path"), "size"), files)
+    return found.select("path", "filename", "size", "lost", "ambiguous")
+
+
 def scan_documents(spark, sf):
     docs = tables.with_decoded_fields(stored(spark, sf))
     return docs.select("doc_id", entries_text(F.map_entries("fields")).alias("fields"))
@@ -894,6 +910,7 @@ def delete_report(spark, sf):
 QUERIES = {
     "scan_labelled": scan_labelled,
     "scan_landed": scan_landed,
+    "scan_manifest": scan_manifest,
     "scan_documents": scan_documents,
     "route_folder": route_folder,
     "safe_filename": safe_filename,
