@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
@@ -9,10 +10,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.tools import batches, doc_rows, kept_by_worker, text_bytes
+from ledgerleaf.llm.scoring import split_words, spread
+from ledgerleaf.llm.tools import doc_rows, kept_by_worker, text_bytes, text_slices
 from ledgerleaf.session import written
 
 WINDOW = 2048
@@ -20,13 +23,21 @@ END_ID = 1
 K1, B = 1.2, 0.75
 SHARD_TOKENS = 1 << 19
 SHARD_ROWS = 1 << 13
-SLICE_BYTES = 4 << 20
-CACHED_WORDS = 700_000
-# The fixed rule by which the tokenizer splits a text into pieces.
+SLICE_BYTES = 8 << 20
+LONG_WORD = 1 << 10
+# The fixed rules of the tokenizer: how it normalises a text and splits it into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-CONTROLS = bytes([*range(9), *range(14, 32), 127])
-# UTF-8 of: capital sigma, dotted capital I, blanks and marks beyond ASCII.
-ODD_BYTES = (b"\xce\xa3", b"\xc4\xb0", b"\xe1\x9a\x80", b"\xe1\xa0\x8e", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80", b"\xef\xbb\xbf")
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": PIECES}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+WORD_END = "</w>"
+# What a byte is part of in such words: all beyond ASCII are parts of letters.
+LETTER, DIGIT, SIGN, END = range(4)
+KINDS = np.array([END if x == 10 else LETTER if x >= 128 or chr(x).isalpha() else DIGIT if chr(x).isdigit() else SIGN for x in range(256)], np.uint8)
+# Texts that may hold a special token, or a capital that composes with a mark in lower case alone.
+NOT_BY_WORDS = r"<\||[HJTWY][^\x00-\x7F]*[\x{308}\x{30A}\x{30C}\x{331}]"
+# Words on which libraries agree; the dotted capital I is two characters in lower case.
+PLAIN_WORD, NOT_PLAIN = r"^[!-~\p{L}]+$", r"[\x{130}\x{10000}-\x{10FFFF}]"
 
 ENCODED = "doc_id long, doc_tokens long, windows array<long>, tail binary, theme long"
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -38,94 +49,123 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def merge_ranks(rules: dict) -> dict[bytes, int] | None:
+    """The ids of the tokens' bytes, with LF for the end of a word; None if the ids do not
+    come in the order of the merges, or the file states other rules than those above."""
+    model = rules["model"]
+    split = {"type": "Sequence", "pretokenizers": [SPLIT, BYTES]}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    expected = (
+        rules["normalizer"] == NORMALIZER
+        and rules["pre_tokenizer"] == split
+        and all(t["content"].startswith("<|") for t in rules["added_tokens"])
+        and model["end_of_word_suffix"] == WORD_END
+        and [model["vocab"][x + y] for x, y in merges] == list(range(512, 512 + len(merges)))
+    )
+    if not expected:
+        return None
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [x for x in range(256) if x not in set(printable)]
+    byte_of = {**{chr(x): x for x in printable}, **{chr(256 + i): x for i, x in enumerate(others)}}
+    ranks = {}
+    for token, i in model["vocab"].items():
+        if i < 512 + len(merges):
+            body = bytes(byte_of[c] for c in token.removesuffix(WORD_END))
+            # Words hold no LF, so only the byte itself needs an id.
+            if b"\n" not in body or token == body.decode("latin-1").translate({x: 256 + k for k, x in enumerate(others)}):
+                ranks[body + b"\n" if token.endswith(WORD_END) else body] = i
+    return ranks
+
+
 class WordEncoder:
-    """Ids of whole texts by the tokenizer's own model, each different word once.
-
-    The tokenizer lower-cases, drops white space and splits the rest into pieces (letters,
-    one digit, or other characters) that its model encodes one by one.  Words between
-    ASCII blanks are split into pieces here by the same rule, so only pieces not met
-    before go to the model.  Texts with characters on which libraries may disagree
-    (controls, blanks beyond ASCII, letters whose lower case depends on their place) go
-    through the tokenizer as a whole.  Strings of special tokens count as ordinary text.
+    """Ids of whole texts as the tokenizer gives them, each different word encoded once.
+
+    The tokenizer normalises to NFC, lower-cases, drops white space and splits the rest into
+    pieces (letters, one digit, or other characters) that its model merges one by one.  None
+    of this looks across an ASCII blank, so texts are parted there, and the different words
+    of many texts are split into pieces and merged as one text: the ids come in the order of
+    the merges, so merging by the rank of the result, the end of a word first, is the same.
+    Words of other characters than letters and printable ASCII, or not normalised, and very
+    long ones go to the tokenizer.  So do whole texts that may hold the string of a special
+    token, and every text if the file states other rules than those above.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.pieces = regex.compile(PIECES).findall
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [x for x in range(256) if x not in set(printable)]
-        self.spelling = {x: 256 + i for i, x in enumerate(others)}
-        self._clear()
-
-    def _clear(self):
-        self.known, self.size = {}, 0
-        self.piece_ids: dict[str, list[int]] = {}
-        self.starts, self.lengths, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
-
-    def _ids_of(self, piece: str) -> list[int]:
-        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.spelling)
-        ids = self.piece_ids[piece] = [t.id for t in self.model.tokenize(spelled)]
-        return ids
-
-    def _learn(self, new: list[bytes]):
-        ids: list[int] = []
-        ends = []
-        known, learn, pieces = self.piece_ids, self._ids_of, self.pieces
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            if not text.isascii():
-                text = unicodedata.normalize("NFC", text).lower()
-            if text.isalpha() and "'" not in text:
-                ids += known.get(text) or learn(text)
-            else:
-                for piece in pieces(text):
-                    ids += known.get(piece) or learn(piece)
-            ends.append(len(ids))
-        ends = np.array(ends, np.int64)
-        lengths = np.diff(ends, prepend=0)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.starts = np.concatenate([self.starts, self.size + ends - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
-        self.size += len(ids)
-
-    @staticmethod
-    def odd(data: bytes) -> bool:
-        if len(data.translate(None, CONTROLS)) != len(data):
-            return True
-        return not data.isascii() and (any(x in data for x in ODD_BYTES) or (b"\xc2" in data and any(bytes((0xC2, x)) in data for x in range(0x80, 0xA1))))
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > CACHED_WORDS:
-            self._clear()
-        out: list = [None] * len(texts)
-        found, counts, at = [], [], []
-        for k, data in enumerate(texts):
-            if self.odd(data):
-                whole = self.tokenizer.encode(data.decode("utf-8", "replace"), add_special_tokens=False)
-                out[k] = np.array(whole.ids, np.uint32)
-            else:
-                parts = data.lower().split()
-                found += parts
-                counts.append(len(parts))
-                at.append(k)
-        new = set(found).difference(self.known)
-        if new:
-            self._learn(list(new))
-        where = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
-        lengths = self.lengths[where]
-        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))
-        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.starts[where] - ends[:-1], lengths)]
-        bounds = ends[np.concatenate((np.zeros(1, np.int64), np.cumsum(counts, dtype=np.int64)))]
-        for k, a, b in zip(at, bounds[:-1], bounds[1:]):
-            out[k] = ids[a:b]
-        return out
+        ranks = merge_ranks(json.loads(self.tokenizer.to_str()))
+        self.by_words = ranks is not None
+        if self.by_words:
+            self.merger = tiktoken.Encoding("pieces", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
+            self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+            for token, i in ranks.items():
+                self.lengths[i] = len(token)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (UTF-8, no nulls), one after the other, and how many each has."""
+        texts = texts.view(pa.string())
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            texts = pa.array([t.decode("utf-8", "replace") for t in texts.view(pa.binary()).to_pylist()], pa.string())
+        if not self.by_words:
+            return self._by_tokenizer(texts)
+        return chosen_apart(texts, pc.match_substring_regex(texts, NOT_BY_WORDS), self._by_tokenizer, self._by_words)
+
+    def _by_tokenizer(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
+        return np.concatenate([np.empty(0, np.uint32), *found]), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        n_words, flat = split_words(texts)
+        words = flat.dictionary
+        plain = pc.and_(pc.match_substring_regex(words, PLAIN_WORD), pc.less_equal(pc.binary_length(words), LONG_WORD))
+        plain = pc.and_not(plain, pc.match_substring_regex(words, NOT_PLAIN))
+        if not unicodedata.is_normalized("NFC", joined_text(words.filter(plain))):
+            plain = pc.and_(plain, pa.array([unicodedata.is_normalized("NFC", w) for w in words.to_pylist()], pa.bool_()))
+        ids, sizes = chosen_apart(words, pc.invert(plain), self._by_tokenizer, self._merged)
+        place = flat.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[place])))
+        return ids[spread((np.cumsum(sizes) - sizes)[place], sizes[place])], np.diff(ends[np.cumsum(n_words)], prepend=0)
+
+    def _merged(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return chosen_apart(pc.utf8_lower(words), pc.match_substring(words, "'"), self._with_contractions, self._of_runs)
+
+    def _with_contractions(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        marked = pc.replace_substring_regex(words, f"({PIECES})", "\\1\n")
+        return self._of_marked(joined_text(marked, ""), np.cumsum(pc.binary_length(marked).to_numpy(), dtype=np.int64))
+
+    def _of_runs(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Without an apostrophe pieces are runs of letters, runs of signs, and single digits."""
+        text = np.frombuffer((joined_text(words) + "\n").encode(), np.uint8)
+        kind = KINDS[text]
+        cut = ((kind[:-1] != kind[1:]) | (kind[:-1] == DIGIT)) & (kind[:-1] != END) & (kind[1:] != END)
+        at = np.flatnonzero(cut) + 1
+        ends = np.cumsum(pc.binary_length(words).to_numpy(), dtype=np.int64) + np.arange(1, len(words) + 1)
+        return self._of_marked(np.insert(text, at, 10).tobytes().decode(), ends + np.searchsorted(at, ends))
+
+    def _of_marked(self, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.merger.encode_ordinary(text), np.uint32)
+        return ids, np.diff(np.searchsorted(np.cumsum(self.lengths[ids]), ends, side="right"), prepend=0)
+
+
+def joined_text(values: pa.Array, between: str = "\n") -> str:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values), between)[0].as_py()
+
+
+def chosen_apart(values: pa.Array, chosen: pa.Array, one, other) -> tuple[np.ndarray, np.ndarray]:
+    """What ``one`` returns for the chosen values and ``other`` for the rest, in their order."""
+    at = chosen.to_numpy(zero_copy_only=False)
+    if not at.any():
+        return other(values)
+    (a, n), (b, m) = one(values.filter(chosen)), other(values.filter(pc.invert(chosen)))
+    sizes, starts = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    sizes[at], sizes[~at] = n, m
+    starts[at], starts[~at] = np.cumsum(n) - n, len(a) + np.cumsum(m) - m
+    return np.concatenate([a, b])[spread(starts, sizes)], sizes
 
 
 def stored_type(path: str) -> str:
@@ -139,25 +179,28 @@ def crc_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def _theme(ids: np.ndarray) -> int:
-    """The least of the hashed ids: texts share it as often as they share ids."""
-    return int((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16)).min())
-
-
 def _encoded(path: str, stored: str, window: int, end_id: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_by_worker(("words", path), lambda: WordEncoder(path))
-        for batch in batches(stream, SLICE_BYTES):
-            counts, windows, tails, themes = [], [], [], []
-            for ids in encoder.encode(batch.column("text_utf8").to_pylist()):
-                ids = np.append(ids, np.uint32(end_id))
-                whole = len(ids) // window
-                counts.append(len(ids))
-                windows.append([crc_of(ids[i * window : (i + 1) * window]) for i in range(whole)])
-                tail = ids[whole * window :]
-                tails.append(tail.astype(stored).tobytes())
-                themes.append(_theme(tail) if len(tail) else 0)
-            arrays = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(windows, pa.list_(pa.int64())), pa.array(tails, pa.binary()), pa.array(themes, pa.int64())]
+        for batch in text_slices(stream, SLICE_BYTES):
+            ids, sizes = encoder.encode(batch.column("text_utf8").combine_chunks())
+            ends = np.cumsum(sizes + 1)
+            ids = np.insert(ids, np.cumsum(sizes), np.uint32(end_id))
+            counts = sizes + 1
+            whole = counts // window
+            windows = [[crc_of(ids[end - n + i * window : end - n + (i + 1) * window]) for i in range(k)] if k else [] for end, n, k in zip(ends.tolist(), counts.tolist(), whole.tolist())]
+            rest = counts - whole * window
+            tails = ids[spread(ends - rest, rest)]
+            offsets = np.concatenate(([0], np.cumsum(rest)))
+            # A theme is the least of a tail's hashed ids: texts share it as often as they share ids.
+            hashed = (tails.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16)).astype(np.int64)
+            themes = np.zeros(len(rest), np.int64)
+            if len(tails):
+                themes[rest > 0] = np.minimum.reduceat(hashed, offsets[:-1][rest > 0])
+            packed = tails.astype(stored)
+            places = (offsets * packed.itemsize).astype(np.int64)
+            bodies = pa.Array.from_buffers(pa.large_binary(), len(rest), [None, pa.py_buffer(places.tobytes()), pa.py_buffer(packed.tobytes())]).cast(pa.binary())
+            arrays = [batch.column("doc_id").combine_chunks(), pa.array(counts, pa.int64()), pa.array(windows, pa.list_(pa.int64())), bodies, pa.array(themes, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "doc_tokens", "windows", "tail", "theme"])
 
     return run
@@ -324,7 +367,8 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
     own inverted index and its own unused tails.  Document frequencies and the mean
     length are of all tails: one number for each id of the vocabulary goes to the tasks.
     No sequence needs padding: a shard's last window is cut at powers of two.  Repeated
-    rows are documents of their own; a null doc_id is read as -1.
+    rows are documents of their own; a null doc_id is read as -1; other columns are not
+    read.  A text is one value of one task: about 100 bytes of memory for each of its bytes.
     """
     rows = doc_rows(docs, text_bytes().alias("text_utf8"))
     path = path or tokenizer_path()

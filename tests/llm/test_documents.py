@@ -2,10 +2,12 @@
 
 import hashlib
 import itertools
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,7 +227,6 @@ def test_pack(docs, empty):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     want = Counter()
     ids = {}
     for i, t, _ in plain():
@@ -248,6 +249,42 @@ def test_pack(docs, empty):
     assert packing.op1_pack(empty).count() == 0
 
 
+def test_ids_are_the_tokenizers():
+    """Letters, marks, signs, blanks and special strings in any mix, and every letter alone."""
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(packing.tokenizer_path()), packing.WordEncoder(packing.tokenizer_path())
+    assert encoder.by_words
+    every = [c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    marks = [c for c in every if unicodedata.category(chr(c))[0] == "M"]
+    odd = [0x1100, 0x1161, 0x11A8, 0xAC00, 0x3A3, 0x130, 0xA0, 0x2028, 0x85, 11, 12, 28, 31]
+    pools = [range(1, 128), range(128, 0x600), marks, every, odd, [*map(ord, "HJTWY\u030c\u0331")], [*map(ord, "<|endoftext|>'sS 12")]]
+    rng = np.random.default_rng(6)
+    texts = ["".join(chr(pools[i][rng.integers(len(pools[i]))]) for i in rng.integers(0, len(pools), rng.integers(1, 14))) for _ in range(10_000)]
+    texts += [f"a{chr(c)}B {chr(c)}{chr(c)} x'S{chr(c)}' {chr(c)}" for c in every if c < 0x3000 or c % 7 == 0]
+    texts += ["hello <|endoftext|> world", "<|startoftext|>x", "<|STARTOFTEXT|>", "", " ", "it's 'n''s'sx ('s 1'2", "y" * 5000, "\u00e9" * 5000, "word " * 400_000]
+    ids, sizes = encoder.encode(pa.array([t.encode() for t in texts], pa.binary()))
+    ends = np.cumsum(sizes)
+    found = tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [t for t, w, a, b in zip(texts, found, ends - sizes, ends) if w.ids != ids[a:b].tolist()] == []
+    ids, sizes = encoder.encode(pa.array([b"", b" \n"], pa.binary()))
+    assert len(ids) == 0 and sizes.tolist() == [0, 0]
+
+
+def test_other_tokenizer_rules_take_the_whole_text(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    rules = json.load(open(packing.tokenizer_path()))
+    rules["normalizer"] = {"type": "Lowercase"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(rules))
+    encoder = packing.WordEncoder(str(path))
+    ids, _ = encoder.encode(pa.array(["A  b\u00a0c 12".encode()], pa.binary()))
+    assert not encoder.by_words and ids.tolist() == Tokenizer.from_file(str(path)).encode("A  b\u00a0c 12", add_special_tokens=False).ids
+
+
 def test_retrieval_prefers_like_texts():
     rng = np.random.default_rng(3)
     tails = [np.concatenate([rng.integers(k % 4 * 500, k % 4 * 500 + 500, 256)]).astype("<u4") for k in range(40)]
