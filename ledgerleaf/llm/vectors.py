@@ -193,22 +193,24 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, probes: int = PROBE
     rows = vectors.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     units = written(rows.mapInArrow(_units, "vec_id long, label string, dims int, key binary, unit binary"), "units")
     usable = units.filter("key IS NOT NULL")
-    classes = written(usable.groupBy("label", "dims", "key").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
-    members = written(usable.join(classes, ["label", "dims", "key"]), "members")
-    heads = members.filter("vec_id = node").select("node", "label", "dims", "key", "unit", "copies")
-    heads = written(heads.dropDuplicates(["label", "key", "node"]), "heads")
+    classes = usable.groupBy("label", "dims", "key").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("unit").alias("unit"))
+    # Vectors may share a vec_id, so a class has a number of its own, fixed by the written table.
+    heads = written(classes.withColumn("node", F.monotonically_increasing_id()), "heads")
+    members = usable.drop("unit").join(heads.select("label", "dims", "key", "node", "least", "copies"), ["label", "dims", "key"])
 
     lengths = sorted(r["dims"] for r in heads.select("dims").distinct().collect())
-    found = [_pairs(heads.filter(F.col("dims") == n).drop("dims", "key"), n, cosine, probes, miss, bucket) for n in lengths]
+    found = [_pairs(heads.filter(F.col("dims") == n).select("node", "label", "unit"), n, cosine, probes, miss, bucket) for n in lengths]
     pairs = reduce(DataFrame.union, found, vectors.sparkSession.createDataFrame([], "a long, b long"))
 
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = heads.select("node", "copies")
     linked = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("copies").alias("other_links")).withColumnRenamed("a", "node")
-    groups = written(components(pairs), "groups")
+    groups = written(components(pairs).join(heads.select("node", "least"), "node"), "groups")
+    firsts = groups.groupBy("component").agg(F.min("least").alias("first"))
+    groups = groups.join(firsts, "component").select("node", "first")
     links = F.coalesce("other_links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
-    found = members.select("vec_id", "node", "copies").join(linked, "node", "left").join(groups, "node", "left")
-    found = found.select("vec_id", links.cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    found = members.select("vec_id", "node", "least", "copies").join(linked, "node", "left").join(groups, "node", "left")
+    found = found.select("vec_id", links.cast("long").alias("n_links"), F.coalesce("first", "least").alias("component_id"))
     alone = units.filter("key IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return found.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
