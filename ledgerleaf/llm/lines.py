@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.tools import NO_ID, batches, doc_rows, text_bytes
+from ledgerleaf.llm.tools import NO_ID, batches, doc_rows, free_prefix, text_bytes
 from ledgerleaf.session import written
 
 MIN_CHARS = 10
@@ -158,12 +158,14 @@ def with_kept_text(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
 def deduplicated_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the kept lines as text; n_chars, where there is one, follows it."""
-    dropped = line_bitmaps(docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("keep").alias("_keep"))
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64("text"))
-    joined = keyed.join(dropped, ["_id", "_hash"], "left").drop("_id", "_hash")
-    kept = joined.mapInArrow(_apply("text", "_keep"), joined.schema)
+    prefix = free_prefix(docs)
+    id_, hash_, keep = (prefix + name for name in ("id", "hash", "keep"))
+    dropped = line_bitmaps(docs).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("keep").alias(keep))
+    keyed = docs.withColumn(id_, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(hash_, F.xxhash64("text"))
+    joined = keyed.join(dropped, [id_, hash_], "left").drop(id_, hash_)
+    kept = joined.mapInArrow(_apply("text", keep), joined.schema)
     if "n_chars" in docs.columns:
-        length = F.when(F.col("_keep").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        length = F.when(F.col(keep).isNull(), F.col("n_chars")).otherwise(F.length("text"))
         kept = kept.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
     return kept.select(docs.columns)
 

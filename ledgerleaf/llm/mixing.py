@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.tools import NO_ID, doc_rows, hash_bucket, root_of, running
+from ledgerleaf.llm.tools import NO_ID, doc_rows, free_prefix, hash_bucket, root_of, running
 from ledgerleaf.session import written
 
 WEIGHTS = (3, 1, 2)
@@ -145,8 +145,8 @@ def op7_mix_sources(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", words.cast("long").alias("taken"), place)
 
 
-def _cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts up to the end of their first ``_words`` words."""
+def _cut(words: str):
+    """Texts up to the end of as many words as the column ``words`` states."""
     import re
 
     pattern = re.compile(WORD)
@@ -157,10 +157,13 @@ def _cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 return text[: found.end()]
         return text
 
-    for batch in stream:
-        at = batch.schema.get_field_index("text")
-        cut = [first(t, n) for t, n in zip(batch.column("text").to_pylist(), batch.column("_words").to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns)], batch.schema.names)
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            at = batch.schema.get_field_index("text")
+            cut = [first(t, n) for t, n in zip(batch.column("text").to_pylist(), batch.column(words).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns)], batch.schema.names)
+
+    return run
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -168,13 +171,16 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     is taken, the last of a source's stream cut after its words; n_chars follows the text.
     Rows come in the order of the place in the mix where they begin."""
     rows, pieces = mix(docs)
-    copies = pieces.groupBy("rank", "start", "again").agg(F.sum("words").alias("_words"), F.min("place").alias("_place"))
-    plan = rows.filter("size > 0").join(copies, ["rank", "start"]).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_words", "_place", F.col("start").alias("_start"), (F.col("_words") == F.col("size")).alias("_whole"))
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64("text", "source"))
-    taken = keyed.dropDuplicates(["_id", "_hash"]).join(plan, ["_id", "_hash"]).drop("_id", "_hash")
-    cut = taken.filter("NOT _whole").mapInArrow(_cut, taken.schema)
-    mixed = taken.filter("_whole").union(cut)
+    prefix = free_prefix(docs)
+    id_, hash_, words, place, start, whole = (prefix + name for name in ("id", "hash", "words", "place", "start", "whole"))
+    copies = pieces.groupBy("rank", "start", "again").agg(F.sum("words").alias(words), F.min("place").alias(place))
+    plan = rows.filter("size > 0").join(copies, ["rank", "start"])
+    plan = plan.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), words, place, F.col("start").alias(start), (F.col(words) == F.col("size")).alias(whole))
+    keyed = docs.withColumn(id_, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(hash_, F.xxhash64("text", "source"))
+    taken = keyed.dropDuplicates([id_, hash_]).join(plan, [id_, hash_]).drop(id_, hash_)
+    cut = taken.filter(~F.col(whole)).mapInArrow(_cut(words), taken.schema)
+    mixed = taken.filter(F.col(whole)).union(cut)
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    order = ("_place", "_start")
+    order = (place, start)
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)

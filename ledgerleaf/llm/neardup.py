@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.llm.blocks import Columns, blocked_links
 from ledgerleaf.llm.components import components
-from ledgerleaf.llm.tools import NO_ID, batches, doc_rows, text_bytes, with_texts, words
+from ledgerleaf.llm.tools import NO_ID, batches, doc_rows, free_prefix, text_bytes, with_texts, words
 from ledgerleaf.session import written
 
 SHINGLE = 5
@@ -213,11 +213,13 @@ def _likely(percent: int, coordinates: int):
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, one for each doc_id."""
-    kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
-    found = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(kept, "_id")
-    once = found.filter("_rows = 1").select(docs.columns)
-    order = Window.partitionBy("_id").orderBy(F.xxhash64(*docs.columns))
-    again = found.filter("_rows > 1").withColumn("_turn", F.row_number().over(order)).filter("_turn = 1")
+    prefix = free_prefix(docs)
+    id_, rows, turn = (prefix + name for name in ("id", "rows", "turn"))
+    kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias(id_)).agg(F.count("*").alias(rows))
+    found = docs.withColumn(id_, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(kept, id_)
+    once = found.filter(F.col(rows) == 1).select(docs.columns)
+    order = Window.partitionBy(id_).orderBy(F.xxhash64(*docs.columns))
+    again = found.filter(F.col(rows) > 1).withColumn(turn, F.row_number().over(order)).filter(F.col(turn) == 1)
     return once.union(again.select(docs.columns))
 
 

@@ -29,6 +29,14 @@ def doc_rows(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), *columns)
 
 
+def free_prefix(docs: DataFrame) -> str:
+    """A prefix that no column of ``docs`` begins with, for columns added beside them."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
+
+
 def text_bytes() -> Column:
     """The text as UTF-8 bytes, a null as none."""
     return F.coalesce(F.col("text"), F.lit("")).cast("binary")
