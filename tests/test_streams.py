@@ -104,3 +104,24 @@ def test_manifest_of_many_depths_and_repeated_names(spark):
     assert all(not found[p].lost and found[p].content for p in deep[1:]) and not found["s3://in/d0/other/doc.pdf"].ambiguous
     assert [r.path for r in rows if r.ambiguous] == [min([*deep, "s3://in/d0/other/doc.pdf"])]
     assert found["gone/doc.pdf"].lost and not found["empty.pdf"].lost and found["empty.pdf"].size == 0
+
+
+def test_slices_come_one_per_batch_in_many_files(spark):
+    """Each slice is written by the tasks that hold it, and is one micro-batch."""
+    from ledgerleaf.plans.queries import _in_slices
+    from ledgerleaf.session import scratch_dir
+
+    rows = spark.range(4000).selectExpr("id AS seq", "repeat('x', 50) AS text").repartition(8)
+    checkpoint, seen = scratch_dir(spark, "checkpoint"), []
+
+    def note(batch, batch_id):
+        seen.append((batch_id, batch.agg({"seq": "min"}).first()[0], batch.count(), batch.selectExpr("input_file_name() AS f").distinct().count()))
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        for feed in _in_slices(spark, rows, "seq", [1000, 1500], "parts"):
+            feed.writeStream.foreachBatch(note).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [s[:3] for s in seen] == [(0, 0, 1000), (1, 1000, 500), (2, 1500, 2500)]
+    assert all(s[3] > 1 for s in seen)
