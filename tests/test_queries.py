@@ -193,3 +193,25 @@ def test_macro_metrics_zero_division(spark):
     got = evaluate.macro_metrics(spark.createDataFrame(rows, "label string, predicted string")).first()
     # precision a 1, b 1/3, c 0; recall a 1/2, b 1, c 0; f1 a 2/3, b 1/2, c 0
     assert (got.accuracy, got.precision, got.recall, got.f1) == (0.5, 0.444, 0.5, 0.389)
+
+
+def test_class_sums_move_terms_and_not_rows(spark, monkeypatch):
+    """The class sums of every term, over few documents and over too many to broadcast
+    their norms; rows without an id are one document."""
+    rows = [(i % 40 if i % 9 else None, "ab"[i % 2], f"cat dog w{i % 7} w{i % 5} bird{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, label string, clean_text string")
+    model = tfidf.TfIdf(docs, keep=("label",))
+    weighed = model.fit_weights().join(model.frequency.select("term", "df"), "term")
+    want = {}
+    for r in weighed.collect():
+        held = want.setdefault(r.term, [r.idf, 0, 0.0, 0.0])
+        held[1] += 1
+        held[2 + "ab".index(r.label)] += r.weight
+    for most in (2_000_000, 0):
+        monkeypatch.setattr(tfidf, "MOST_NORMS", most)
+        sums = tfidf.class_sums(model.train_counts, model.frequency, "label", ["a", "b"], 60)
+        got = {r.term: list(r)[1:] for r in sums.collect()}
+        assert got.keys() == want.keys()
+        assert all(got[t] == pytest.approx(want[t]) for t in want)
+        plan = sums._jdf.queryExecution().toString()
+        assert ("BroadcastHashJoin" in plan and "Window" not in plan) or not most
