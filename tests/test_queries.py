@@ -215,3 +215,17 @@ def test_class_sums_move_terms_and_not_rows(spark, monkeypatch):
         assert all(got[t] == pytest.approx(want[t]) for t in want)
         plan = sums._jdf.queryExecution().toString()
         assert ("BroadcastHashJoin" in plan and "Window" not in plan) or not most
+
+
+def test_frequencies_of_slices_are_those_of_the_rows(spark, monkeypatch):
+    """Odd words, one-letter words, a pair that occurs twice, null and empty texts, and
+    slices of a few rows; rows that repeat an id count on their own."""
+    texts = ["cat dog cat dog", "Dog CAT_9 \u00e9l\u00e9phant \u0130x \u212aelvin", "a b c", "", None, "\u65e5\u672c go-to go\nto", "x1 x1 x1"]
+    docs = spark.createDataFrame([(i % 5, texts[i % 7]) for i in range(50)], "doc_id long, clean_text string").repartition(3)
+    want = {tuple(r) for r in tfidf.TfIdf(docs).frequency.collect()}
+    for size in (tfidf.SLICE_BYTES, 40):
+        monkeypatch.setattr(tfidf, "SLICE_BYTES", size)
+        frequency = tfidf.frequency_of(docs)
+        assert {tuple(r) for r in frequency.collect()} == want
+    assert frequency.filter("term = 'cat dog'").first().df == 8
+    assert "Generate" not in frequency._jdf.queryExecution().toString()
