@@ -229,3 +229,15 @@ def test_frequencies_of_slices_are_those_of_the_rows(spark, monkeypatch):
         assert {tuple(r) for r in frequency.collect()} == want
     assert frequency.filter("term = 'cat dog'").first().df == 8
     assert "Generate" not in frequency._jdf.queryExecution().toString()
+
+
+def test_hot_keys_do_not_move_the_rows(spark):
+    """The rows are shuffled for the join itself, and not to look up which keys are hot."""
+    docs = spark.createDataFrame([(i, f"cat dog w{i % 7}") for i in range(50)], "doc_id long, clean_text string")
+    model = tfidf.TfIdf(docs)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = model.fit_sums()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
