@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerleaf import constants as C
+from ledgerleaf.functions.common import literal_array
 
 
 def keyword_score(lowered: Column, keywords) -> Column:
-    """How many of the keywords occur as substrings."""
-    return reduce(add, (F.contains(lowered, F.lit(word)).cast("int") for word in keywords))
+    """How many of the keywords occur as substrings.
+
+    A filter over the list is one expression and no generated code for each keyword, and
+    it parts the generated code of the chain: the JVM does not compile methods above 8,000
+    bytes, and sessions with Spark's own limit (65,535) keep such methods whole.
+    """
+    occurring = F.filter(literal_array(keywords), lambda word: F.contains(lowered, word))
+    return F.when(lowered.isNotNull(), F.size(occurring))
 
 
 def label_from_scores(invoice_score: Column, resume_score: Column) -> Column:

@@ -33,7 +33,7 @@ def clean_text(raw: Column) -> Column:
     """
     text = F.replace(raw, F.lit("\r\n"), F.lit("\n"))
     text = F.replace(text, F.lit("\r"), F.lit("\n"))
-    text = F.regexp_replace(text, r"[^\x21-\x7E\n]{2,}|[^\x20-\x7E\n]", " ")
+    text = F.regexp_replace(text, r"[^\x20-\x7E\n][^\x21-\x7E\n]*+| [^\x21-\x7E\n]++", " ")
     text = F.regexp_replace(text, r" \n ?|\n ", "\n")
     text = F.regexp_replace(text, r"\n{3,}", "\n\n")
     return F.coalesce(strip(text), F.lit(""))

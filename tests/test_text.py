@@ -3,11 +3,13 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import extract, text
 from ledgerleaf.functions.classify import with_rule_label
 from ledgerleaf.operators.pages import assemble
+from ledgerleaf.plans import queries
 
 
 def plain_clean(raw):
@@ -100,3 +102,32 @@ def test_pages_in_order_across_parts(spark):
     df = spark.createDataFrame(rows, "doc_id long, page_no long, text string").repartition(7)
     got = {r.doc_id: r.text for r in assemble(df).collect()}
     assert got == {1: "\n".join(f"page {p}" for p in range(700)), 2: "only", 3: ""}
+
+
+def test_cleaning_replaces_the_runs_it_always_did(spark):
+    """The first pattern has one way to match at each place; the plain one has two."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(" ab\n\t\x00\x7fé€", k=rng.randint(0, 14))) for _ in range(400)]
+
+    def plain(raw):
+        runs = re.sub(r"[^\x21-\x7E\n]{2,}|[^\x20-\x7E\n]", " ", raw)
+        return re.sub(r"\n{3,}", "\n\n", re.sub(r" \n ?|\n ", "\n", runs)).strip(" \n")
+
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = frame.select("text", text.clean_text(F.col("text")).alias("clean")).collect()
+    assert all(r["clean"] == plain(r["text"]) for r in got)
+
+
+def test_scores_of_a_null_text_are_null(spark):
+    frame = spark.createDataFrame([(None,), ("",), ("Tax Invoice No 7, total; CV",)], "clean_text string")
+    got = [(r["invoice_score"], r["resume_score"], r["rule_label"]) for r in with_rule_label(frame).collect()]
+    assert got == [(None, None, "Resume"), (0, 0, "Other"), (4, 1, "Invoice")]
+
+
+@pytest.mark.parametrize("name", ["process_corpus", "ingest_status", "extract_fields", "missing_important"])
+def test_generated_methods_are_small_enough_to_compile(spark, sf, name):
+    """The JVM interprets methods above 8,000 bytes; Spark's own limit is 65,535."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    code = debug.codegenString(getattr(queries, name)(spark, sf)._jdf.queryExecution().executedPlan())
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
