@@ -23,6 +23,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -42,6 +43,7 @@ B_FILE = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 64
 FAN_IN = 64
 SLICE_BYTES = 4 << 20
+PART_BYTES = 1 << 19
 
 SLICES = "slice long, shard int, doc_ids binary, lengths binary, ids binary, keys binary, counts binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, groups string"
@@ -56,27 +58,18 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Both tokenizers, and the bytes of each of their tokens."""
+    """Both tokenizers, and the bytes of each of their tokens.  The encoders of the first
+    are made when a text is encoded: who looks at ids alone does not hold them."""
 
     def __init__(self, a_file: str, a_ranks: str | None, b_file: str):
         import sentencepiece
-        import tiktoken
-        from tokenizers import Tokenizer
 
+        self.files = a_file, a_ranks
         letters = _byte_letters()
         with open(a_file, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
         known = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in vocabulary.items()}
         self.a_bytes = [known.get(i, b"") for i in range(max(known) + 1)]
-        self.a_own = None
-        if a_ranks:
-            # The same vocabulary as ranks has the same ids, and a faster encoder.
-            with open(a_ranks, "rb") as f:
-                ranks = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
-            if all(self.a_bytes[i] == t for t, i in ranks.items()):
-                self.a_own = tiktoken.Encoding("a", pat_str=A_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.a_file = Tokenizer.from_file(a_file)
-        self.a_file.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         raw = [re.fullmatch(r"<0x([0-9A-F]{2})>", p) for p in pieces]
@@ -86,21 +79,42 @@ class Tokenizers:
         self.width = max(len(self.a_bytes), len(self.b_bytes))
         self.shown = [f"{i}{mark}".encode() for mark in ",|;" for i in range(self.width)]
 
-    def encoded(self, text: bytes) -> tuple[list[int], list[int]]:
+    @cached_property
+    def a_own(self):
+        """The same vocabulary as ranks has the same ids, and a faster encoder."""
+        import tiktoken
+
+        if not self.files[1]:
+            return None
+        with open(self.files[1], "rb") as f:
+            ranks = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
+        if any(self.a_bytes[i] != t for t, i in ranks.items()):
+            return None
+        return tiktoken.Encoding("a", pat_str=A_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def a_file(self):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.files[0])
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
+    def encoded(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both, or none where the bytes of either are not a space and the text."""
-        whole = b" " + text
+        whole, none = b" " + text, np.empty(0, np.int32)
         try:
             string = text.decode("utf-8")
         except UnicodeDecodeError:
-            return [], []
+            return none, none
         if not string:
-            return [], []
+            return none, none
         spaced = " " + string
         a = self.a_own.encode_ordinary(spaced) if self.a_own else self.a_file.encode(spaced, add_special_tokens=False).ids
         b = self.b.encode(string)
         if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
-            return [], []
-        return a, b
+            return none, none
+        return np.array(a, np.int32), np.array(b, np.int32)
 
 
 class Aligned:
@@ -151,6 +165,15 @@ class Aligned:
         return [b"".join(tokens[i:j])[:-1] for i, j in zip(bounds[:-1], bounds[1:])]
 
 
+def _in_parts(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, tokens: Tokenizers) -> Iterator[Aligned]:
+    """The documents of a slice aligned in parts of about ``PART_BYTES``, so that memory
+    follows the part and not the slice."""
+    to_a, to_b = (np.concatenate(([0], np.cumsum(n))) for n in (n_a, n_b))
+    spelt = np.concatenate(([0], np.cumsum(tokens.a_lengths[a])))
+    for i, j in parts_of(np.diff(spelt[to_a]), PART_BYTES):
+        yield Aligned(a[to_a[i] : to_a[j]], b[to_b[i] : to_b[j]], n_a[i:j], n_b[i:j], tokens.a_lengths, tokens.b_lengths)
+
+
 def shard_of(keys: np.ndarray, b_size: int, shards: int) -> np.ndarray:
     """The shard of a pair follows from its first id, so the pairs of an id stay together."""
     first = (keys // b_size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -164,6 +187,13 @@ def _dealt(keys: np.ndarray, b_size: int, shards: int) -> tuple[np.ndarray, np.n
     return order, np.searchsorted(shard[order], np.arange(shards + 1))
 
 
+def parts_of(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of documents of about ``most`` in all, by their sizes; a longer one is alone."""
+    number = (np.cumsum(sizes) - sizes) // most
+    bounds = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(sizes)]
+    return [(i, j) for i, j in zip(bounds[:-1], bounds[1:]) if j > i]
+
+
 def _packed(values: np.ndarray) -> bytes:
     import zstandard
 
@@ -203,15 +233,18 @@ class Alignment:
             number = TaskContext.get().partitionId() << 32
             for rows in text_slices(stream, slice_bytes):
                 tokens = loaded()
-                both = [tokens.encoded(t) for t in rows.column("text_utf8").to_pylist()]
+                both = [tokens.encoded(t.as_py()) for c in rows.column("text_utf8").chunks for t in c]
                 n_a, n_b = (np.fromiter((len(x[k]) for x in both), np.int64, len(both)) for k in (0, 1))
-                a, b = (np.fromiter((i for x in both for i in x[k]), np.int64, int(n.sum())) for k, n in ((0, n_a), (1, n_b)))
+                a, b = (np.concatenate([x[k] for x in both]) for k in (0, 1))
                 del both
-                aligned = Aligned(a, b, n_a, n_b, tokens.a_lengths, tokens.b_lengths)
                 b_size = len(tokens.b_bytes)
-                doc = np.repeat(np.arange(len(n_a)), aligned.n_links)
-                held = np.unique(doc << 32 | aligned.link_keys(b_size)) & 0xFFFFFFFF
-                keys, counts = np.unique(held, return_counts=True)
+                held = []
+                for aligned in _in_parts(a, b, n_a, n_b, tokens):
+                    doc = np.repeat(np.arange(len(aligned.n_a)), aligned.n_links)
+                    own = np.unique(doc << 32 | aligned.link_keys(b_size)) & 0xFFFFFFFF
+                    held.append(own.astype(np.uint32))
+                keys, counts = np.unique(np.concatenate(held), return_counts=True)
+                keys = keys.astype(np.int64)
                 order, starts = _dealt(keys, b_size, shards)
                 keys, counts = keys[order].astype(np.uint32), counts[order].astype(np.uint32)
                 full = np.flatnonzero(np.diff(starts))
@@ -244,13 +277,13 @@ class Alignment:
         def distinct(key: tuple, rows: pa.Table) -> pa.Table:
             return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "bucket": pa.array([key[1].as_py()], pa.int64()), "keys": pa.array([union(rows.column("keys").to_pylist())], pa.binary())})
 
-        def build(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in stream:
-                made = [PerfectHash.build(np.frombuffer(k, np.uint32)).dumped() for k in batch.column("keys").to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column("shard"), *(pa.array([m[i] for m in made], pa.binary()) for i in range(3))], ["shard", "sizes", "taken", "keys"])
+        def build(key: tuple, rows: pa.Table) -> pa.Table:
+            made = [PerfectHash.build(np.frombuffer(k, np.uint32)).dumped() for k in rows.column("keys").to_pylist()]
+            return pa.Table.from_arrays([rows.column("shard"), *(pa.array([m[i] for m in made], pa.binary()) for i in range(3))], ["shard", "sizes", "taken", "keys"])
 
         first = self.blocks.groupBy("shard", "bucket").applyInArrow(distinct, "shard int, bucket long, keys binary")
-        return self._tree(first, union, "keys").select("shard", "keys").mapInArrow(build, "shard int, sizes binary, taken binary, keys binary")
+        # Grouped again: a step of its own in Python needs no second worker beside the tree's.
+        return self._tree(first, union, "keys").select("shard", "keys").groupBy("shard").applyInArrow(build, "shard int, sizes binary, taken binary, keys binary")
 
     def _in_buckets(self, per_shard: DataFrame) -> DataFrame:
         return per_shard.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.buckets - 1).cast("long"))))
@@ -270,23 +303,22 @@ class Alignment:
         def add(parts: list[bytes]) -> bytes:
             return np.sum([np.frombuffer(p, np.int64) for p in parts], axis=0).tobytes()
 
-        def mark(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in stream:
-                best = []
-                for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                    first, n = np.frombuffer(keys, np.uint32) // b_size, np.frombuffer(counts, np.int64)
-                    _, at = np.unique(first, return_inverse=True)
-                    highest = np.zeros(at.max() + 1, np.int64)
-                    np.maximum.at(highest, at, n)
-                    best.append((n == highest[at]).tobytes())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.binary())], [*batch.schema.names, "best"])
+        def mark(key: tuple, rows: pa.Table) -> pa.Table:
+            best = []
+            for keys, counts in zip(rows.column("keys").to_pylist(), rows.column("counts").to_pylist()):
+                first, n = np.frombuffer(keys, np.uint32) // b_size, np.frombuffer(counts, np.int64)
+                _, at = np.unique(first, return_inverse=True)
+                highest = np.zeros(at.max() + 1, np.int64)
+                np.maximum.at(highest, at, n)
+                best.append((n == highest[at]).tobytes())
+            return rows.append_column("best", pa.array(best, pa.binary()))
 
         # A bucket whose slices hold no pair of a shard has no block, and adds nothing.
         hashes = self._in_buckets(self.hashes).join(self.blocks.select("shard", "bucket").distinct(), ["shard", "bucket"], "left_semi")
         dense = self.blocks.groupBy("shard", "bucket").cogroup(hashes.groupBy("shard", "bucket")).applyInArrow(count, "shard int, bucket long, counts binary")
         totals = self._tree(dense, add, "counts").select("shard", "counts")
         joined = self.hashes.join(totals, "shard").select("shard", "sizes", "taken", "keys", "counts")
-        return joined.mapInArrow(mark, "shard int, sizes binary, taken binary, keys binary, counts binary, best binary")
+        return joined.groupBy("shard").applyInArrow(mark, "shard int, sizes binary, taken binary, keys binary, counts binary, best binary")
 
     def _b_size(self) -> int:
         import sentencepiece
@@ -320,21 +352,25 @@ class Alignment:
             tokens = loaded()
             row = {c: slices.column(c)[0].as_py() for c in ("doc_ids", "lengths", "ids")}
             n_a, n_b = _unpacked(row["lengths"], np.int64).reshape(2, -1)
-            ids = _unpacked(row["ids"], np.uint32 if tokens.width > 1 << 16 else np.uint16).astype(np.int64)
+            ids = _unpacked(row["ids"], np.uint32 if tokens.width > 1 << 16 else np.uint16).astype(np.int32)
             cut = int(n_a.sum())
-            aligned = Aligned(ids[:cut], ids[cut:], n_a, n_b, tokens.a_lengths, tokens.b_lengths)
             b_size = len(tokens.b_bytes)
-            keys, place = np.unique(aligned.link_keys(b_size), return_inverse=True)
+            part_keys = lambda aligned: np.unique(aligned.link_keys(b_size)).astype(np.uint32)
+            keys = np.unique(np.concatenate([part_keys(p) for p in _in_parts(ids[:cut], ids[cut:], n_a, n_b, tokens)])).astype(np.int64)
             order, _ = _dealt(keys, b_size, shards)
             by_shard = np.argsort(answers.column("shard").to_numpy(), kind="stable")
             count, best = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
             for into, column, kind in ((count, "counts", np.int64), (best, "best", bool)):
                 parts = answers.column(column).to_pylist()
                 into[order] = np.frombuffer(b"".join(parts[i] for i in by_shard), kind)
-            groups = aligned.group_strings(tokens.shown, tokens.width)
-            shas = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
-            shown = [g.decode() for g in groups] if with_groups else [None] * len(groups)
-            columns = [np.frombuffer(row["doc_ids"], np.int64), n_a, n_b, aligned.n_groups, aligned.n_links, aligned.per_document(best[place]), aligned.per_document(count[place])]
+            shas, shown, sums = [], [], []
+            for aligned in _in_parts(ids[:cut], ids[cut:], n_a, n_b, tokens):
+                place = np.searchsorted(keys, aligned.link_keys(b_size))
+                groups = aligned.group_strings(tokens.shown, tokens.width)
+                shas += [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
+                shown += [g.decode() for g in groups] if with_groups else [None] * len(groups)
+                sums.append(np.stack([aligned.n_groups, aligned.n_links, aligned.per_document(best[place]), aligned.per_document(count[place])]))
+            columns = [np.frombuffer(row["doc_ids"], np.int64), n_a, n_b, *np.concatenate(sums, axis=1)]
             return pa.Table.from_arrays([*(pa.array(c.astype(np.int64)) for c in columns), pa.array(shas, pa.string()), pa.array(shown, pa.string())], [f.split()[0] for f in RESULT.split(", ")])
 
         tables = self._in_buckets(self.table).join(self.blocks.select("shard", "bucket").distinct(), ["shard", "bucket"], "left_semi")
