@@ -2,9 +2,9 @@
 
 The base is a model of single words with counts of the whole training part.  The model
 itself is causal self-attention on subword ids (``attention.py``).  It starts from counts
-of neighbouring ids over all training documents; its weights learn from windows of all
-of them, a fixed share that grows with the corpus: learners of about equal size take a
-pass each over their windows, and the weights are averaged over a tree after each pass.
+of neighbouring ids over all training documents; its weights learn from all of their
+windows: each round teaches its own share of them, learners of about equal size take a
+pass each over their windows, and the weights are averaged over a tree after each round.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from ledgerleaf.session import written
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 SLICE_BYTES = 8 << 20
-ONE_WINDOW_OF = 32
+ONE_WINDOW_OF = 1
 WINDOWS_PER_LEARNER = 8192
 ROUNDS = 3
 RATE = 0.01
@@ -182,27 +182,26 @@ def _shards(found: pa.Array, shards: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in found.to_pylist()), np.int64, len(found))
 
 
-def _chosen(doc_ids: np.ndarray, sizes: np.ndarray, one_of: int) -> np.ndarray:
-    """Which windows of the documents teach: one of so many, by a hash of document and place."""
+def _chosen(doc_ids: np.ndarray, sizes: np.ndarray, one_of: int, rounds: int, turn: int) -> np.ndarray:
+    """Which windows of the documents a round teaches, by a hash of document and place: one
+    of ``one_of`` teaches at all, and in one round."""
     n = -(-sizes // attention.STEP)
     place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     h = np.repeat(doc_ids, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-    return ((h >> np.uint64(33)) % np.uint64(one_of)) == 0
+    return ((h >> np.uint64(33)) % np.uint64(one_of * rounds)) == turn * one_of
 
 
-def _learner(parameters: attention.Arrays, counts: attention.Counts, rate: float, turn: int):
-    """What a learner makes of its windows: their number, and that many times its weights."""
-
-    def learn(key: tuple, rows: pa.Table) -> pa.Table:
-        held = [_unpack(w, np.int32).reshape(-1, attention.WINDOW + attention.STEP) for w in rows.column("windows").to_pylist()]
-        every = np.concatenate(held).astype(np.int64)
+def _learned(parameters: attention.Arrays, counts: attention.Counts, context: np.ndarray, target: np.ndarray, per_learner: int, rate: float, seed: list[int]) -> np.ndarray:
+    """The windows' number, and what learners of at most ``per_learner`` of them make of the
+    weights, weighed by their windows."""
+    learners = -(-len(target) // per_learner)
+    total = np.zeros(1 + attention.flat(parameters).size)
+    for k in range(learners):
         model = attention.Attention(dict(parameters), counts)
-        model.learn(every[:, : attention.WINDOW], every[:, attention.WINDOW :], np.random.default_rng([turn, key[0].as_py()]), rate)
-        weighed = np.concatenate(([1.0], attention.flat(model.p).astype(np.float64))) * len(every)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([_pack(weighed)], pa.binary())})
-
-    return learn
+        model.learn(context[k::learners], target[k::learners], np.random.default_rng([*seed, k]), rate)
+        total += np.concatenate(([1.0], attention.flat(model.p).astype(np.float64))) * len(target[k::learners])
+    return total
 
 
 class CorpusModel:
@@ -214,8 +213,8 @@ class CorpusModel:
         rows = rows.withColumn("held_out", held_out(F.col("doc_id")))
         self.slices = written(rows.mapInArrow(_sliced(ranks, slice_bytes), SLICES), "slices")
         self._count_words()
-        self.counts = self._count_neighbours(one_window_of)
-        self.parameters = self._learn(windows_per_learner, rounds, rate)
+        self.counts = self._count_neighbours()
+        self.parameters = self._learn(one_window_of, windows_per_learner, rounds, rate)
 
     def _count_words(self) -> None:
         """``answers``: (slice, shard, counts): for the words of a slice that belong to a
@@ -261,9 +260,8 @@ class CorpusModel:
         total, distinct = self.answers.agg(F.coalesce(F.sum("total"), zero), F.coalesce(F.sum("distinct"), zero)).first()
         self.train_tokens, self.distinct = total + self.ends, distinct + (self.ends > 0)
 
-    def _count_neighbours(self, one_of: int) -> attention.Counts:
-        """Counts of the ids, then of their neighbours; the windows to learn from are
-        written on the way."""
+    def _count_neighbours(self) -> attention.Counts:
+        """Counts of the ids, then of their neighbours, over all training documents."""
         end = kept_by_worker(("subwords", self.ranks), lambda: Subwords(self.ranks)).end
         per_id = tree_sum(self.slices.select(F.col("slice").alias("part"), F.col("id_counts").alias("data")), np.int64)
         per_id = np.zeros(end + 1, np.int64) if per_id is None else per_id.copy()
@@ -271,47 +269,53 @@ class CorpusModel:
         counts = attention.Counts.of_ids(per_id)
 
         def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part = TaskContext.get().partitionId()
-            schema = pa.schema([("part", pa.int64()), ("data", pa.binary()), ("n_windows", pa.int64()), ("windows", pa.binary())])
-            dense = None
+            part, dense = TaskContext.get().partitionId(), None
             for batch in stream:
-                for number, doc_ids, held, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", "doc_ids", "held", *SLICE_COLUMNS))):
-                    held, own = np.frombuffer(held, bool), Slice(*row, end)
-                    taught = ~np.repeat(held, own.sizes)
+                for held, *row in zip(*(batch.column(c).to_pylist() for c in ("held", *SLICE_COLUMNS))):
+                    own = Slice(*row, end)
+                    taught = ~np.repeat(np.frombuffer(held, bool), own.sizes)
                     # Each document begins after an end, as after the one before it.
                     before = np.concatenate(([end], own.ids[:-1]))
                     found = np.concatenate(counts.neighbours(before[taught], own.ids[taught]))
                     dense = found if dense is None else dense + found
-                    sizes, ids = own.sizes[~held], own.ids[taught]
-                    chosen = _chosen(np.frombuffer(doc_ids, np.int64)[~held], sizes, one_of)
-                    context, target = attention.windows(ids, sizes, end, chosen=chosen)
-                    if len(target):
-                        packed = _pack(np.concatenate([context, target], axis=1).astype(np.int32))
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([number], [None], [len(target)], [packed]), schema)], schema=schema)
             if dense is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(([part], [_pack(dense)], [None], [None]), schema)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([_pack(dense)], pa.binary())], ["part", "data"])
 
-        made = self.slices.select("slice", "doc_ids", "held", *SLICE_COLUMNS).mapInArrow(run, "part long, data binary, n_windows long, windows binary")
-        made = written(made, "neighbours")
-        dense = tree_sum(made.filter("data IS NOT NULL").select("part", "data"), np.int64)
+        made = self.slices.select("held", *SLICE_COLUMNS).mapInArrow(run, "part long, data binary")
+        dense = tree_sum(written(made, "neighbours"), np.int64)
         split = counts.n_before * counts.n_classes
         if dense is None:
             dense = np.zeros(split + counts.n_before * counts.n_inputs, np.int64)
-        self.windows = made.filter("windows IS NOT NULL").select("part", "n_windows", "windows")
         return counts.with_neighbours(dense[:split], dense[split:])
 
-    def _learn(self, per_learner: int, rounds: int, rate: float) -> attention.Arrays:
-        parameters, counts = attention.first_parameters(), self.counts
-        n_windows = self.windows.agg(F.sum("n_windows")).first()[0] or 0
-        if not n_windows:
-            return parameters
-        learner = F.pmod(F.xxhash64("part"), F.lit(-(-n_windows // per_learner))).alias("part")
-        dealt = self.windows.select(learner, "windows")
+    def _learn(self, one_of: int, per_learner: int, rounds: int, rate: float) -> attention.Arrays:
+        """Every slice teaches where it lies: its windows do not move, the weights do."""
+        counts = self.counts
+        end = len(counts.of_id) - 1
+
+        def teacher(parameters: attention.Arrays, turn: int):
+            def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                part, total = TaskContext.get().partitionId(), None
+                for batch in stream:
+                    for number, doc_ids, held, *row in zip(*(batch.column(c).to_pylist() for c in ("slice", "doc_ids", "held", *SLICE_COLUMNS))):
+                        held, own = np.frombuffer(held, bool), Slice(*row, end)
+                        sizes, ids = own.sizes[~held], own.ids[~np.repeat(held, own.sizes)]
+                        chosen = _chosen(np.frombuffer(doc_ids, np.int64)[~held], sizes, one_of, rounds, turn)
+                        context, target = attention.windows(ids, sizes, end, chosen=chosen)
+                        if len(target):
+                            found = _learned(parameters, counts, context, target, per_learner, rate * (1 - turn / rounds), [turn, number])
+                            total = found if total is None else total + found
+                if total is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([_pack(total)], pa.binary())], ["part", "data"])
+
+            return run
+
+        parameters = attention.first_parameters()
+        slices = self.slices.select("slice", "doc_ids", "held", *SLICE_COLUMNS)
         for turn in range(rounds):
-            learn = _learner(parameters, counts, rate * (1 - turn / rounds), turn)
-            learned = written(dealt.groupBy("part").applyInArrow(learn, "part long, data binary"), "learned")
-            total = tree_sum(learned, np.float64)
-            parameters = attention.shaped(total[1:] / total[0], parameters)
+            total = tree_sum(written(slices.mapInArrow(teacher(parameters, turn), "part long, data binary"), "learned"), np.float64)
+            if total is not None:
+                parameters = attention.shaped(total[1:] / total[0], parameters)
         return parameters
 
     def base_scores(self) -> DataFrame:

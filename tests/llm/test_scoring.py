@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from ledgerleaf.llm import attention
-from ledgerleaf.llm.scoring import RANKS, CorpusModel, Subwords, op12_scores, split_words
+from ledgerleaf.llm.scoring import ONE_WINDOW_OF, RANKS, ROUNDS, CorpusModel, Subwords, _chosen, op12_scores, split_words
 
 SCHEMA = "doc_id long, text string, slice long, word string, n long, at int, place long, total long"
 
@@ -130,3 +130,16 @@ def test_learning_beats_the_counts_it_starts_from(spark, sf):
     learned = CorpusModel(docs, one_window_of=2, rounds=3).scores().filter("held_out").groupBy().sum("score", "n_tokens").first()
     start = CorpusModel(docs, one_window_of=2, rounds=0).scores().filter("held_out").groupBy().sum("score", "n_tokens").first()
     assert learned[0] > start[0]
+
+
+def test_every_window_teaches_in_one_round():
+    sizes, doc_ids = np.array([1, 32, 33, 5000]), np.array([7, -1, -1, 2**40])
+    taught = sum(_chosen(doc_ids, sizes, ONE_WINDOW_OF, ROUNDS, turn).astype(int) for turn in range(ROUNDS))
+    assert len(taught) == 1 + 1 + 2 + 157 and (taught == 1).all()
+
+
+def test_weights_learn_from_documents_of_one_window(spark):
+    """32 short documents of one window each were mostly left out of the weights."""
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(4)], "doc_id long, text string").repartition(1)
+    model = CorpusModel(docs)
+    assert np.abs(model.parameters["output"]).sum() > 0
