@@ -7,6 +7,7 @@ corpus-wide counts of ids.  The frequent ids have classes of their own.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +19,7 @@ STEP, WINDOW = 32, 48
 NO_TOKEN = -1
 CLASS_STRENGTH, ID_STRENGTH = 16.0, 4.0
 MOST_SCORE, MOST_OUTPUT = 30.0, 4.0
+BLOCK, ROWS = 32, 256
 
 Arrays = dict[str, np.ndarray]
 
@@ -109,7 +111,7 @@ def flat(parameters: Arrays) -> np.ndarray:
 def shaped(values: np.ndarray, like: Arrays) -> Arrays:
     out, at = {}, 0
     for k in sorted(like):
-        out[k] = values[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        out[k] = values[at : at + like[k].size].reshape(like[k].shape).astype(np.float32, copy=False)
         at += like[k].size
     return out
 
@@ -154,43 +156,68 @@ class Attention:
         return np.maximum(distance, 0), (distance >= 0).astype(np.float32)
 
     def _tables(self) -> Arrays:
-        embed = self.p["embed"]
-        return {"q": embed @ self.p["query"] / np.float32(embed.shape[1] ** 0.5), "k": embed @ self.p["key"], "v": embed @ self.p["value"]}
+        """What places give and queries take by their input rows: (key, value, 1) and (query,
+        direct).  The place that holds no id has no value and counts 0."""
+        p, width = self.p, self.p["embed"].shape[1]
+        seen = np.empty((len(p["embed"]), 2 * width + 1), p["embed"].dtype)
+        np.matmul(p["embed"], np.concatenate([p["key"], p["value"]], axis=1), out=seen[:, : 2 * width])
+        seen[:, 2 * width] = 1
+        seen[self.nothing, width:] = 0
+        return {"seen": seen, "asked": np.concatenate([p["embed"] @ (p["query"] * seen.dtype.type(width**-0.5)), p["direct"]], axis=1)}
+
+    def _inputs(self, context: np.ndarray) -> np.ndarray:
+        return np.where(context == NO_TOKEN, self.nothing, self.counts.input_of.take(context))
+
+    def _buffers(self, step: int) -> Arrays:
+        """Arrays that the blocks of windows share, so that they stay in a core's cache."""
+        kind, classes = self.p["embed"].dtype, self.counts.n_classes
+        distance, causal = self._distances(step)
+        made = {c: np.empty((BLOCK, step, self.window), kind) for c in ("a", "d_a")}
+        made |= {"e": np.empty((ROWS, classes), kind), "next": np.empty((ROWS, classes), self.counts.next_class.dtype)}
+        return made | {"bias": self.p["distance"][distance], "causal": causal, "ones": np.ones(classes, kind)}
 
-    def _forward(self, context: np.ndarray, step: int, tables: Arrays) -> Arrays:
-        x = np.where(context == NO_TOKEN, self.nothing, self.counts.input_of.take(context))
+    def _forward(self, x: np.ndarray, tables: Arrays, buffers: Arrays) -> Arrays:
+        """Up to ``BLOCK`` windows; ``a`` is not divided by its sums."""
+        step, width = buffers["a"].shape[1], self.p["embed"].shape[1]
         mine = x[:, -step:]
-        distance, causal = self._distances(step)
-        q, k, v = tables["q"].take(mine, axis=0), tables["k"].take(x, axis=0), tables["v"].take(x, axis=0)
-        a = q @ k.transpose(0, 2, 1)
-        a += self.p["distance"][distance]
+        seen, asked = tables["seen"].take(x, axis=0), tables["asked"].take(mine, axis=0)
+        turned = np.ascontiguousarray(seen.transpose(0, 2, 1))
+        a = np.matmul(asked[:, :, :width], turned[:, :width], out=buffers["a"][: len(x)])
+        a += buffers["bias"]
         np.clip(a, -MOST_SCORE, MOST_SCORE, out=a)
         np.exp(a, out=a)
-        a *= causal
-        if (x[:, 0] == self.nothing).any() or (x[:, -1] == self.nothing).any():
-            a *= (x != self.nothing)[:, None, :]
+        a *= buffers["causal"]
+        mixed = a @ seen[:, :, width:]
         # A query outside of its document sees nothing, and is not a target.
-        a /= np.maximum(a @ np.ones((self.window, 1), np.float32), np.float32(1e-20))
-        h = a @ v
-        h += self.p["direct"].take(mine, axis=0)
-        h /= np.abs(h) + np.float32(1)
-        row = np.minimum(mine, self.counts.n_before - 1).ravel()
-        e = h.reshape(-1, h.shape[2]) @ self.p["output"]
-        np.exp(e, out=e)
-        e *= self.counts.next_class.take(row, axis=0)
-        return {"x": x, "q": q, "k": k, "v": v, "a": a, "h": h, "row": row, "e": e, "total": e @ np.ones(e.shape[1], np.float32)}
-
-    def log_probabilities(self, context: np.ndarray, target: np.ndarray, rows: int = 128) -> np.ndarray:
+        part = 1 / np.maximum(mixed[:, :, width:], a.dtype.type(1e-20))
+        mixed = mixed[:, :, :width] * part
+        h = mixed + asked[:, :, width:]
+        slope = 1 / (np.abs(h) + a.dtype.type(1))
+        h *= slope
+        return {"seen": seen, "asked": asked, "turned": turned, "a": a, "part": part, "mixed": mixed, "h": h.reshape(-1, width), "slope": slope, "row": np.minimum(mine, self.counts.n_before - 1).ravel()}
+
+    def _classes(self, f: Arrays, buffers: Arrays) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """For some queries at a time: which, their classes' shares before they are divided
+        by their sum, and the sum."""
+        for at in range(0, len(f["h"]), ROWS):
+            some = slice(at, min(at + ROWS, len(f["h"])))
+            e = np.matmul(f["h"][some], self.p["output"], out=buffers["e"][: some.stop - at])
+            np.exp(e, out=e)
+            e *= self.counts.next_class.take(f["row"][some], axis=0, out=buffers["next"][: some.stop - at], mode="clip")
+            yield some, e, e @ buffers["ones"]
+
+    def log_probabilities(self, context: np.ndarray, target: np.ndarray, rows: int = BLOCK) -> np.ndarray:
         """ln P of each target after its context, 0 where there is none."""
         out, step = np.zeros(target.shape), target.shape[1]
-        tables = self._tables()
-        for at in range(0, len(target), rows):
-            wanted = target[at : at + rows]
-            f = self._forward(context[at : at + rows], step, tables)
+        tables, buffers, x = self._tables(), self._buffers(step), self._inputs(context)
+        for at in range(0, len(target), min(rows, BLOCK)):
+            wanted = target[at : at + min(rows, BLOCK)]
+            f = self._forward(x[at : at + min(rows, BLOCK)], tables, buffers)
             ids = np.maximum(wanted, 0).ravel()
-            found = f["e"][np.arange(len(ids)), self.counts.of_id[ids]].astype(np.float64) / f["total"]
+            goal = self.counts.of_id.take(ids)
+            found = np.concatenate([e[np.arange(len(e)), goal[some]].astype(np.float64) / total for some, e, total in self._classes(f, buffers)])
             p = np.log(found * self.counts.inside(f["row"], ids))
-            out[at : at + rows] = np.where(wanted != NO_TOKEN, p.reshape(wanted.shape), 0.0)
+            out[at : at + len(wanted)] = np.where(wanted != NO_TOKEN, p.reshape(wanted.shape), 0.0)
         return out
 
     def documents(self, ids: np.ndarray, sizes: np.ndarray, start_id: int, rows: int = 1 << 13) -> np.ndarray:
@@ -206,61 +233,86 @@ class Attention:
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> tuple[float, Arrays]:
         """The mean loss of the targets' classes, and its gradient."""
-        p, step = self.p, target.shape[1]
-        f = self._forward(context, step, self._tables())
-        x, a, h, mine = f["x"], f["a"], f["h"], f["x"][:, -step:]
-        valid = (target != NO_TOKEN).ravel()
-        wanted = self.counts.of_id[np.maximum(target, 0)].ravel()
-        share = f["e"] / f["total"][:, None]
-        rows = np.arange(len(wanted))
-        loss = -np.log(share[rows, wanted])[valid].mean()
-        share[rows, wanted] -= 1
-        share *= (valid / valid.sum())[:, None].astype(np.float32)
-        width = h.shape[2]
-        scale = np.float32(width**-0.5)
-        d_output = h.reshape(-1, width).T @ share
-        d_sum = (share @ p["output"].T).reshape(h.shape) * (1 - np.abs(h)) ** 2
-        d_a = d_sum @ f["v"].transpose(0, 2, 1)
-        d_score = a * (d_a - (d_a * a).sum(axis=2, keepdims=True))
-        d_q, d_k, d_v = d_score @ f["k"], d_score.transpose(0, 2, 1) @ f["q"], a.transpose(0, 2, 1) @ d_sum
-        e = p["embed"][x]
-        e_mine, d_q = e[:, -step:], d_q * scale
-        flat2 = lambda m: m.reshape(-1, width)
-        d_e = d_k @ p["key"].T + d_v @ p["value"].T
-        d_e[:, -step:] += d_q @ p["query"].T
-        distance, _ = self._distances(step)
-        gradient = {
-            "output": d_output,
-            "direct": _rows_added(mine.ravel(), flat2(d_sum), len(p["direct"])),
-            "embed": _rows_added(x.ravel(), flat2(d_e), len(p["embed"])),
-            "query": flat2(e_mine).T @ flat2(d_q),
-            "key": flat2(e).T @ flat2(d_k),
-            "value": flat2(e).T @ flat2(d_v),
-            "distance": np.bincount(distance.ravel(), d_score.sum(axis=0).ravel(), self.window).astype(np.float32),
-        }
-        return float(loss), gradient
+        wanted = np.where(target == NO_TOKEN, NO_TOKEN, self.counts.of_id.take(np.maximum(target, 0)))
+        shares, gradient = self._gradient(self._inputs(context), wanted, self._buffers(target.shape[1]))
+        return float(-np.log(shares[wanted.ravel() != NO_TOKEN]).mean(dtype=np.float64)), gradient
+
+    def _gradient(self, x: np.ndarray, wanted: np.ndarray, buffers: Arrays) -> tuple[np.ndarray, Arrays]:
+        """The wanted classes' probabilities, and the gradient of the mean loss, from input
+        rows and classes.  What is added to the tables is summed by input rows before it goes
+        on to the layers."""
+        p, step = self.p, wanted.shape[1]
+        width, kind = p["embed"].shape[1], p["embed"].dtype
+        tables = self._tables()
+        buffers["bias"] = p["distance"][self._distances(step)[0]]
+        valid = wanted != NO_TOKEN
+        n_valid, shares = valid.sum(), np.empty(wanted.size, kind)
+        d_seen, d_asked = np.empty((*x.shape, 2 * width), kind), np.empty((len(x), step, 2 * width), kind)
+        d_output, d_distance = np.zeros_like(p["output"]), np.zeros((step, self.window), kind)
+        back = np.ascontiguousarray(p["output"].T)
+        for at in range(0, len(x), BLOCK):
+            f = self._forward(x[at : at + BLOCK], tables, buffers)
+            a, n = f["a"], len(f["a"])
+            own, goal = valid[at : at + BLOCK].ravel(), np.maximum(wanted[at : at + BLOCK].ravel(), 0)
+            d_sum = np.empty_like(f["h"])
+            for some, e, total in self._classes(f, buffers):
+                place = np.arange(len(e)), goal[some]
+                found = e[place]
+                np.divide(found, total, out=shares[at * step :][some])
+                e[place] = found - total
+                weight = (own[some] / (n_valid * total)).astype(kind)[:, None]
+                d_output += (f["h"][some] * weight).T @ e
+                np.multiply(e @ back, weight, out=d_sum[some])
+            d_sum = d_sum.reshape(f["mixed"].shape) * np.square(f["slope"])
+            # The mean over the places is taken off by the 1 that each of them counts.
+            d_mixed = np.empty((n, step, width + 1), kind)
+            shared = np.multiply(d_sum, f["part"], out=d_mixed[:, :, :width])
+            np.negative(np.einsum("ijk,ijk->ij", shared, f["mixed"]), out=d_mixed[:, :, width])
+            d_a = np.matmul(d_mixed, f["turned"][:, width:], out=buffers["d_a"][:n])
+            d_a *= a
+            block = slice(at, at + n)
+            d_asked[block, :, :width] = d_a @ f["seen"][:, :, :width]
+            d_asked[block, :, width:] = d_sum
+            d_seen[block, :, :width] = d_a.transpose(0, 2, 1) @ f["asked"][:, :, :width]
+            d_seen[block, :, width:] = a.transpose(0, 2, 1) @ shared
+            d_distance += d_a.sum(axis=0)
+        seen, asked = _rows_added(x, d_seen, len(p["embed"])), _rows_added(x[:, -step:], d_asked, len(p["embed"]))
+        seen[self.nothing] = 0
+        summed = np.concatenate([seen, asked[:, :width] * kind.type(width**-0.5)], axis=1)
+        layers = np.concatenate([p["key"], p["value"], p["query"]], axis=1)
+        d_key, d_value, d_query = np.split(p["embed"].T @ summed, 3, axis=1)
+        gradient = {"output": d_output, "direct": asked[:, width:], "embed": summed @ layers.T, "query": d_query, "key": d_key, "value": d_value}
+        gradient["distance"] = np.bincount(self._distances(step)[0].ravel(), d_distance.ravel(), self.window).astype(kind)
+        return shares, gradient
 
     def learn(self, context: np.ndarray, target: np.ndarray, rng: np.random.Generator, rate: float, batch: int = 128) -> None:
         """One pass over the windows in random order, by Adam."""
-        first = {k: np.zeros_like(v) for k, v in self.p.items()}
-        second = {k: np.zeros_like(v) for k, v in self.p.items()}
+        # The parameters are parts of one array, which a step changes at once.
+        values = flat(self.p)
+        self.p = shaped(values, self.p)
+        first, second, change = np.zeros_like(values), np.zeros_like(values), np.empty_like(values)
+        x, buffers = self._inputs(context), self._buffers(target.shape[1])
+        wanted = np.where(target == NO_TOKEN, NO_TOKEN, self.counts.of_id.take(np.maximum(target, 0)))
         order, done = rng.permutation(len(context)), 0
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]
-            _, gradient = self.gradient(context[rows], target[rows])
+            _, gradient = self._gradient(x[rows], wanted[rows], buffers)
+            g = flat(gradient)
             done += 1
-            for k, g in gradient.items():
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.01 * (g * g - second[k])
-                change = first[k] / (1 - 0.9**done) / (np.sqrt(second[k] / (1 - 0.99**done)) + 1e-6)
-                self.p[k] = self.p[k] - np.float32(rate) * change.astype(np.float32)
+            first += np.multiply(np.subtract(g, first, out=change), 0.1, out=change)
+            np.multiply(g, g, out=g)
+            second += np.multiply(np.subtract(g, second, out=change), 0.01, out=change)
+            np.sqrt(np.divide(second, 1 - 0.99**done, out=change), out=change)
+            change += 1e-6
+            np.divide(first, change, out=change)
+            change *= rate / (1 - 0.9**done)
+            values -= change
             np.clip(self.p["output"], -MOST_OUTPUT, MOST_OUTPUT, out=self.p["output"])
 
 
 def _rows_added(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """The sum of the rows that belong to each index."""
-    order = np.argsort(at, kind="stable")
-    index, start = np.unique(at[order], return_index=True)
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[index] = np.add.reduceat(rows[order], start, axis=0)
+    at, out = at.ravel(), np.empty((n, rows.shape[-1]), rows.dtype)
+    for k, column in enumerate(np.ascontiguousarray(rows.reshape(len(at), -1).T)):
+        out[:, k] = np.bincount(at, column, n)
     return out
