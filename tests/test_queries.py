@@ -241,3 +241,42 @@ def test_hot_keys_do_not_move_the_rows(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+
+
+def test_slices_in_rounds_give_the_rows_of_one_slice(spark, monkeypatch):
+    """Small slices and several rounds: frequencies, weights, class sums and scores are those
+    of a single slice; ids repeat over slices, and one is null."""
+    rows = [(i % 40 if i % 9 else None, "ab"[i % 2], f"cat dog w{i % 7} w{i % 5} bird{i} cat dog" if i % 11 else None) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, label string, clean_text string").repartition(3).cache()
+
+    def results():
+        model = tfidf.TfIdf(docs, keep=("label",))
+        sums = tfidf.class_sums(model.train_counts, model.frequency, "label", ["a", "b"], 60)
+        bayes = tfidf.NaiveBayes(docs)
+        tables = {"sums": model.fit_sums(), "classes": sums, "scores": bayes.predict(docs), "weights": model.fit_weights()}
+        found = {name: sorted(([*r] for r in t.collect()), key=lambda r: str(r)) for name, t in tables.items()}
+        return model, {**found, "df": sorted(map(tuple, model.frequency.select("term", "df").collect()))}
+
+    model, want = results()
+    assert model.rounds == 1 and model.train_counts.count() <= 3
+    monkeypatch.setattr(tfidf, "SLICE_BYTES", 60)
+    monkeypatch.setattr(tfidf, "ROUND_WORDS", 60)
+    model, got = results()
+    assert model.rounds > 2 and model.train_counts.count() > 5
+    assert got["df"] == want["df"]
+    for name in ("sums", "classes", "scores", "weights"):
+        assert len(got[name]) == len(want[name]), name
+        for a, b in zip(got[name], want[name]):
+            assert a == pytest.approx(b), name
+
+
+def test_what_meets_are_terms_of_slices_and_not_rows(spark):
+    """A term of a thousand rows is one row of the join with the frequencies."""
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("cat dog cat bird").alias("clean_text")).coalesce(1)
+    model = tfidf.TfIdf(docs)
+    assert model.frequency.count() == 6
+    hot = tfidf.salts(model.frequency, "term", "df")
+    assert tfidf._met(model.train_counts, model.frequency, hot, 0, 1).count() == 6
+    sums = model.fit_sums().collect()
+    assert len(sums) == 1000
+    assert all(r.n_terms == 6 and r.sum_weight == pytest.approx((5 + 2) / (4 + 5) ** 0.5) for r in sums)
