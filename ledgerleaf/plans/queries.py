@@ -265,16 +265,15 @@ def ingest_trace(spark, sf):
 def _in_slices(spark, rows: DataFrame, by: str, bounds: list, purpose: str) -> Iterator[DataFrame]:
     """A feed of ``rows`` for each slice of ``by``, in order; a stream that takes up each
     where it ended the one before gets one slice per micro-batch, in as many files as it
-    takes tasks to write them."""
+    takes tasks to write them.  ``rows`` is read once for each, so it should be a table."""
     inbox = scratch_dir(spark, purpose)
-    rows = written(rows, purpose)
     for low, high in zip([None, *bounds], [*bounds, None]):
         part = rows
         if low is not None:
             part = part.filter(F.col(by) >= low)
         if high is not None:
             part = part.filter(F.col(by) < high)
-        part.write.mode("append").parquet(inbox)
+        part.write.mode("append").option("compression", "zstd").parquet(inbox)
         yield spark.readStream.schema(rows.schema).parquet(inbox)
 
 
@@ -769,7 +768,7 @@ def _reviewed(spark, sf) -> str:
     requests = status_requests(spark, sf)
     top = requests.agg(F.max("seq")).first()[0] + 1
     path, checkpoint = scratch_dir(spark, "reviewed"), scratch_dir(spark, "checkpoint")
-    for feed in _in_slices(spark, requests, "seq", [top // 3, 2 * top // 3], "asked"):
+    for feed in _in_slices(spark, written(requests, "asked"), "seq", [top // 3, 2 * top // 3], "asked"):
         workflow_stream.start_review(feed, stored(spark, sf), path, checkpoint).awaitTermination()
     return path
 

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerleaf.functions.text import text_preview
 from ledgerleaf.operators import ingest
 from ledgerleaf.operators.dedup import keys_of, verdicts
-from ledgerleaf.session import written
+from ledgerleaf.session import written_freed
 
 BATCH = "batch_id"
 # The first hex digits of a hash name the folder of the library that holds it.
@@ -83,14 +84,16 @@ def ingest_batch(files: DataFrame, batch_id: int, path: str) -> None:
     """
     spark = files.sparkSession
     done = ingest.outcome(files, lambda keys: library_rows(spark, path, keys, batch_id))
-    done = written(ingest.trace(done), "ingested")
+    # What is read of it has neither bytes nor whole texts; the texts' previews stay previews.
+    done = ingest.trace(done).drop("content", "text").withColumn("clean_text", text_preview(F.col("clean_text")))
+    done = written_freed(done, "ingested")
     here = f"{BATCH}={batch_id}"
     shown = done.select("doc_id", "filename", "kind", "message", ingest.trace_text(F.col("trace")).alias("trace"))
-    shown.write.mode("overwrite").parquet(f"{path}/outcomes/{here}")
+    shown.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/outcomes/{here}")
     new = done.filter(F.col("kind") == "new")
-    ingest.stored_rows(new).write.mode("overwrite").parquet(f"{path}/documents/{here}")
+    ingest.stored_rows(new).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/documents/{here}")
     hashes = _by_prefix(new.select("file_hash", "doc_id", F.col("filename").alias("original_filename")))
-    hashes.repartition(PREFIX).write.mode("overwrite").partitionBy(PREFIX).parquet(f"{path}/library/{here}")
+    hashes.repartition(PREFIX).write.mode("overwrite").option("compression", "zstd").partitionBy(PREFIX).parquet(f"{path}/library/{here}")
 
 
 def start_ingest(feed: DataFrame, path: str, checkpoint: str, library: DataFrame | None = None, **trigger) -> StreamingQuery:
@@ -103,7 +106,7 @@ def start_ingest(feed: DataFrame, path: str, checkpoint: str, library: DataFrame
     spark = feed.sparkSession
     stored = library if library is not None else spark.createDataFrame([], LIBRARY)
     stored = _by_prefix(stored.select("file_hash", "doc_id", "original_filename"))
-    stored.repartition(PREFIX).write.mode("ignore").partitionBy(PREFIX).parquet(f"{path}/library/{BATCH}=-1")
+    stored.repartition(PREFIX).write.mode("ignore").option("compression", "zstd").partitionBy(PREFIX).parquet(f"{path}/library/{BATCH}=-1")
     if "text" not in feed.columns:
         feed = feed.withColumn("text", F.lit(None).cast("string"))
     return (

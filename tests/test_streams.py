@@ -125,3 +125,28 @@ def test_slices_come_one_per_batch_in_many_files(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [s[:3] for s in seen] == [(0, 0, 1000), (1, 1000, 500), (2, 1500, 2500)]
     assert all(s[3] > 1 for s in seen)
+
+
+def test_a_batch_keeps_no_second_copy_of_its_bytes(spark, tmp_path, monkeypatch):
+    """What a batch writes beside its results has neither bytes nor whole texts, and previews stay as they were."""
+    from ledgerleaf.session import written
+
+    path, tables_ = str(tmp_path / "out"), []
+    text = "word " * 200
+    files = spark.createDataFrame([(1, "a.pdf", 5, PDF + b"x", text)], "doc_id long, filename string, size long, content binary, text string")
+    files = files.withColumn("upload_ts", F.lit("2026-01-01").cast("timestamp_ntz"))
+    spark.createDataFrame([], ingest_stream.LIBRARY).withColumn("prefix", F.lit("00")).write.partitionBy("prefix").parquet(f"{path}/library/batch_id=-1")
+    monkeypatch.setattr(ingest_stream, "written_freed", lambda df, purpose: tables_.append(written(df, purpose)) or tables_[-1])
+    ingest_stream.ingest_batch(files, 0, path)
+    assert len(tables_) == 1 and not {"content", "text"} & set(tables_[0].columns)
+    preview = spark.read.parquet(f"{path}/documents/batch_id=0").first().text_preview
+    assert preview == tables_[0].first().clean_text == ingest.stored_rows(ingest.processed(files).withColumn("ext", F.lit("pdf")).withColumn("file_hash", F.lit("0"))).first().text_preview
+
+
+def test_slices_of_a_table_are_not_written_first(spark, monkeypatch):
+    from ledgerleaf.plans import queries
+
+    monkeypatch.setattr(queries, "written", None)
+    rows = spark.range(9).withColumnRenamed("id", "seq")
+    feeds = [f.isStreaming for f in queries._in_slices(spark, rows, "seq", [3, 6], "slices")]
+    assert feeds == [True] * 3
